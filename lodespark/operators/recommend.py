@@ -17,7 +17,8 @@ LARGE_KEY_PAIRS = 10_000_000
 
 def dedupe(ratings: DataFrame, order: list[str]) -> DataFrame:
     """Last rating per user and item, by the ``order`` columns."""
-    last = F.max(F.struct(*order, "rating", "ts")).alias("last")
+    place = F.struct(*[F.col(c).alias(f"place{n}") for n, c in enumerate(order)])
+    last = F.max(F.struct(place.alias("place"), "rating", "ts")).alias("last")
     return (
         ratings.groupBy("user_id", "item_id")
         .agg(last)
