@@ -43,6 +43,32 @@ def tokens(text: Column) -> Column:
     return words(F.lower(text))
 
 
+def term_counts(sorted_tokens: Column) -> Column:
+    """Array of ``(term, tf)`` structs of a sorted array of tokens.
+
+    A term starts where its token differs from the one before; its count is the distance
+    to the next start. The array is bound to a lambda variable so that it is computed
+    once per row.
+    """
+
+    def counted(tokens: Column) -> Column:
+        length = F.size(tokens)
+        starts = F.filter(
+            F.sequence(F.lit(0), length - 1),
+            lambda n: (n == 0) | (F.get(tokens, n) != F.get(tokens, n - 1)),
+        )
+        return F.transform(F.array(starts), lambda at: F.transform(
+            at,
+            lambda start, n: F.struct(
+                F.get(tokens, start).alias("term"),
+                (F.coalesce(F.get(at, n + 1), length) - start).cast("long").alias("tf"),
+            ),
+        ))[0]
+
+    some = F.transform(F.array(sorted_tokens), counted)[0]
+    return F.when(F.size(sorted_tokens) > 0, some)
+
+
 def jaccard(left: Column, right: Column) -> Column:
     """Jaccard similarity of two arrays of distinct values; two empty ones give 1."""
     shared = F.size(F.array_intersect(left, right))
