@@ -27,8 +27,12 @@ def normalize(text: Column) -> Column:
 
 
 def shingles(normalized: Column, k: int = 3) -> Column:
-    """Sorted distinct substrings of ``k`` characters; shorter text gives none."""
-    every = F.regexp_extract_all(normalized, F.lit(f"(?=(.{{{k}}}))"), 1)
+    """Sorted distinct substrings of ``k`` characters; shorter text gives none.
+
+    Each match looks ahead for ``k`` characters and takes one, so that the next starts one
+    whole character later, also beyond the basic plane.
+    """
+    every = F.regexp_extract_all(normalized, F.lit(f"(?s)(?=(.{{{k}}}))."), 1)
     return F.sort_array(F.array_distinct(every))
 
 
