@@ -11,7 +11,7 @@ from lodespark.operators.cooccurrence import LARGE_GROUP, pair_counts
 def weighted_baskets(baskets: DataFrame) -> DataFrame:
     """Distinct item sets with the number of baskets holding each.
 
-    ``baskets`` has ``(basket_id, items: array<string>)``. Copies of a basket are
+    ``baskets`` has ``(basket_id, items: array<string>)`` with unique ids. Copies of a basket are
     merged before the first shuffle, so a basket seen very often costs one row.
     Empty baskets are dropped.
     """

@@ -98,6 +98,26 @@ def test_recommend_matches_brute_force(spark, pairs_per_edge):
     assert [tuple(r) for r in result.collect()] == brute_recommend(edges, 10)
 
 
+def test_star_needs_only_its_first_leaves(spark):
+    """A hub with leaves: every pair of leaves has one mutual neighbour."""
+    adjacency = {0: list(range(1, 3000)), 5000: [5001, 5002], 5003: [5001, 5002], 5001: [5002]}
+    edges = graph.edges(friends(spark, adjacency))
+    rows = [tuple(r) for r in graph.recommend(edges, 10, large_group=100).collect()]
+    assert rows == brute_recommend_star(10)
+
+
+def brute_recommend_star(k):
+    return [(5000, 5003, 2)] + [(1, n, 1) for n in range(2, k + 1)]
+
+
+def test_fewer_pairs_than_asked_for(spark):
+    adjacency = {1: [2], 2: [3], 3: [4]}
+    edges = graph.edges(friends(spark, adjacency))
+    for pairs_per_edge in (0, 50):
+        rows = [tuple(r) for r in graph.recommend(edges, 10, pairs_per_edge).collect()]
+        assert rows == [(1, 3, 1), (2, 4, 1)]
+
+
 def test_baskets_at_the_limits(spark):
     lists = [["a", "b", "a"], ["b", "a"], ["a", "b", "c"], ["a", "c"], ["d"], []]
     df = spark.createDataFrame(list(enumerate(lists)), "basket_id long, items array<string>")
