@@ -435,7 +435,7 @@ ORACLES: dict[str, str] = {
     "minhash_signatures": _with(SHINGLES, SIGNATURES)
     + " SELECT doc_id, array_to_string(sig, ',') AS signature FROM signatures",
     "minhash_candidates": _with(SHINGLES, SIGNATURES)
-    + """ SELECT band, md5(array_to_string(bucket, ',')) AS bucket, doc_id, classes FROM (
+    + """ SELECT band::INTEGER AS band, md5(array_to_string(bucket, ',')) AS bucket, doc_id, classes FROM (
     SELECT *, count(*) OVER (PARTITION BY band, bucket) AS classes FROM bands) WHERE classes > 1""",
     "near_duplicate_copies": _with(SHINGLES) + " SELECT doc_id, class_id FROM copies",
     "near_duplicates": _with(SHINGLES, SIGNATURES, DUPLICATES)
@@ -462,14 +462,14 @@ ORACLES: dict[str, str] = {
     FROM similar_docs JOIN buckets x ON x.doc_id = doc_a JOIN buckets y ON y.doc_id = doc_b
     WHERE x.bucket = y.bucket""",
     "kmeans_centroids": _kmeans((CLUSTERS,))
-    + f" SELECT cl AS cluster_id, dim, round(v, 6) AS value FROM c{STEPS}",
+    + f" SELECT cl::INTEGER AS cluster_id, dim::INTEGER AS dim, round(v, 6) AS value FROM c{STEPS}",
     "kmeans_assign": _kmeans((CLUSTERS,))
-    + f" SELECT id AS point_id, cl AS cluster_id, round(d, 6) AS distance FROM a{STEPS}",
+    + f" SELECT id AS point_id, cl::INTEGER AS cluster_id, round(d, 6) AS distance FROM a{STEPS}",
     "kmeans_wcss": _kmeans((CLUSTERS,)) + f" SELECT round(sum(d), 6) AS wcss FROM a{STEPS}",
     "kmeans_elbow": _kmeans(ELBOW)
     + f" SELECT k, round(sum(d), 6) AS wcss FROM a{STEPS} GROUP BY k",
     "cluster_sample": _kmeans((CLUSTERS,))
-    + f""" SELECT id AS point_id, cl AS cluster_id, round(x.x, 6) AS x, round(y.x, 6) AS y
+    + f""" SELECT id AS point_id, cl::INTEGER AS cluster_id, round(x.x, 6) AS x, round(y.x, 6) AS y
     FROM a{STEPS} JOIN points x USING (id) JOIN points y USING (id)
     WHERE x.dim = 1 AND y.dim = 4 AND id IN (
       SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 5000)""",
