@@ -11,6 +11,10 @@ from lodespark.staging import stage
 EPS = 1e-12
 MIN_OVERLAP = 5
 NEIGHBOURS = 10
+# Rows (of three numbers) up to which the left side is sent to every task.
+SMALL_SIDE = 1_000_000
+# Rows up to which all of one member are brought into one task.
+LARGE_MEMBER = 1_000_000
 # A key is joined in chunks when it gives more than this many pairs of rows.
 LARGE_KEY_PAIRS = 10_000_000
 
@@ -55,6 +59,8 @@ def similarity(
     left: DataFrame,
     right: DataFrame,
     min_overlap: int = MIN_OVERLAP,
+    small_side: int = SMALL_SIDE,
+    large_member: int = LARGE_MEMBER,
     large_key_pairs: int = LARGE_KEY_PAIRS,
 ) -> DataFrame:
     """Cosine similarity on common keys between members of two sets of rows.
@@ -63,53 +69,84 @@ def similarity(
     over the common keys only. Returns ``(left_id, right_id, overlap, similarity)`` for
     different members with at least ``min_overlap`` common keys.
 
+    The rows on the left are counted. If they are few they are broadcast; otherwise both
+    sides are joined by key.
+    """
+    left = stage(left)
+    a = left.select(F.col("member").alias("left_id"), "key", F.col("value").alias("x"))
+    b = right.select(F.col("member").alias("right_id"), "key", F.col("value").alias("y"))
+    if left.count() <= small_side:
+        sums = _sums_with_small_left(a, b, large_member)
+    else:
+        sums = _sums_by_key(a, b, min_overlap, large_key_pairs)
+    norms = (F.sqrt("xx") + EPS) * (F.sqrt("yy") + EPS)
+    return sums.where(F.col("overlap") >= min_overlap).select(
+        "left_id", "right_id", "overlap", (F.col("xy") / norms).alias("similarity")
+    )
+
+
+def _sums_with_small_left(a: DataFrame, b: DataFrame, large_member: int) -> DataFrame:
+    """Sums per pair where ``a`` fits into every task.
+
+    The right side is partitioned by its member, so that the sums of a pair are complete
+    within a task and only the rows, not the joined pairs, are shuffled. Members
+    with very many rows stay where they are and their partial sums are merged.
+    """
+    sizes = b.groupBy("right_id").agg(F.count(F.lit(1)).alias("n"))
+    large = stage(sizes.where(F.col("n") > large_member).select("right_id"))
+    small = F.broadcast(a)
+    if large.isEmpty():
+        return _sums(small.join(b.repartition("right_id"), "key"))
+    rest = b.join(large, "right_id", "left_anti").repartition("right_id")
+    spread_out = b.join(large, "right_id", "left_semi")
+    return _sums(small.join(rest, "key")).unionByName(_sums(small.join(spread_out, "key")))
+
+
+def _sums_by_key(
+    a: DataFrame, b: DataFrame, min_overlap: int, large_key_pairs: int
+) -> DataFrame:
+    """Sums per pair where both sides are large.
+
     Keys that would give very many pairs are treated apart. Up to ``min_overlap - 1``
     of them cannot make up the overlap alone, so they are left out of the join and
     added for the pairs it finds; any others are joined in chunks.
     """
     per_key = (
-        left.groupBy("key")
+        a.groupBy("key")
         .agg(F.count(F.lit(1)).alias("left_rows"))
-        .join(right.groupBy("key").agg(F.count(F.lit(1)).alias("right_rows")), "key")
+        .join(b.groupBy("key").agg(F.count(F.lit(1)).alias("right_rows")), "key")
         .withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
     )
     large = stage(per_key.where(F.col("pairs") > large_key_pairs).select("key", "pairs"))
-    a = left.select(F.col("member").alias("left_id"), "key", F.col("value").alias("x"))
-    b = right.select(F.col("member").alias("right_id"), "key", F.col("value").alias("y"))
     if large.isEmpty():
-        sums = _sums(a.join(b, "key"))
-    else:
-        aside = stage(large.orderBy(F.desc("pairs"), "key").limit(min_overlap - 1).select("key"))
-        chunked = large.join(aside, "key", "left_anti").select(
-            "key", F.ceil(F.col("pairs") / large_key_pairs).cast("int").alias("chunks")
-        )
-        chunks = F.coalesce("chunks", F.lit(1))
-        a_rest = (
-            a.join(aside, "key", "left_anti")
-            .join(chunked, "key", "left")
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-            .drop("chunks")
-        )
-        b_rest = (
-            b.join(aside, "key", "left_anti")
-            .join(chunked, "key", "left")
-            .withColumn("chunk", F.pmod(F.xxhash64("right_id"), chunks).cast("int"))
-            .drop("chunks")
-        )
-        found = _sums(a_rest.join(b_rest, ["key", "chunk"]))
-        extra = _sums(
-            found.select("left_id", "right_id")
-            .join(a.join(aside, "key", "left_semi"), "left_id")
-            .join(b.join(aside, "key", "left_semi"), ["right_id", "key"])
-        )
-        sums = (
-            found.unionByName(extra)
-            .groupBy("left_id", "right_id")
-            .agg(*[F.sum(c).alias(c) for c in ("overlap", "xy", "xx", "yy")])
-        )
-    norms = (F.sqrt("xx") + EPS) * (F.sqrt("yy") + EPS)
-    return sums.where(F.col("overlap") >= min_overlap).select(
-        "left_id", "right_id", "overlap", (F.col("xy") / norms).alias("similarity")
+        return _sums(a.join(b, "key"))
+    aside = stage(large.orderBy(F.desc("pairs"), "key").limit(min_overlap - 1).select("key"))
+    chunked = large.join(aside, "key", "left_anti").select(
+        "key", F.ceil(F.col("pairs") / large_key_pairs).cast("int").alias("chunks")
+    )
+    chunks = F.coalesce("chunks", F.lit(1))
+    a_rest = (
+        a.join(aside, "key", "left_anti")
+        .join(chunked, "key", "left")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .drop("chunks")
+    )
+    b_rest = (
+        b.join(aside, "key", "left_anti")
+        .join(chunked, "key", "left")
+        .withColumn("chunk", F.pmod(F.xxhash64("right_id"), chunks).cast("int"))
+        .drop("chunks")
+    )
+    found = stage(_sums(a_rest.join(b_rest, ["key", "chunk"])))
+    extra = _sums(
+        found.select("left_id", "right_id")
+        .join(a.join(aside, "key", "left_semi"), "left_id")
+        .join(b.join(aside, "key", "left_semi"), ["right_id", "key"])
+    )
+    return (
+        found.unionByName(extra)
+        .groupBy("left_id", "right_id")
+        .agg(*[F.sum(c).alias(c) for c in ("overlap", "xy", "xx", "yy")])
     )
 
 
@@ -136,7 +173,7 @@ def user_similarity(
         F.col("centered").alias("value"),
     )
     wanted = targets.select(F.col("user_id").alias("member")).distinct()
-    return similarity(stage(rows.join(wanted, "member", "left_semi")), rows, min_overlap)
+    return similarity(rows.join(wanted, "member", "left_semi"), rows, min_overlap)
 
 
 def item_similarity(

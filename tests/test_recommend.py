@@ -116,14 +116,29 @@ def test_large_keys_give_the_same_similarity(spark, least):
         F.col("item_id").alias("member"), F.col("user_id").alias("key"),
         F.col("centered").alias("value"),
     )
-    plain = {tuple(r)[:2]: tuple(r)[2:] for r in recommend.similarity(rows, rows, least).collect()}
-    apart = {
-        tuple(r)[:2]: tuple(r)[2:]
-        for r in recommend.similarity(rows, rows, least, large_key_pairs=20).collect()
-    }
-    assert plain.keys() == apart.keys() and plain
-    for pair, values in plain.items():
-        assert apart[pair] == pytest.approx(values)
+
+    def found(**limits):
+        df = recommend.similarity(rows, rows, least, **limits)
+        return {tuple(r)[:2]: tuple(r)[2:] for r in df.collect()}
+
+    plain = Plain(ratings)
+    wanted = {}
+    for a, i in enumerate(plain.items):
+        for b, j in enumerate(plain.items):
+            s = None if i == j else plain.cosine(plain.c[:, a], plain.c[:, b], least)
+            if s is not None:
+                both = ~np.isnan(plain.c[:, a]) & ~np.isnan(plain.c[:, b])
+                wanted[i, j] = (both.sum(), s)
+    for limits in (
+        {},
+        {"large_member": 8},
+        {"small_side": 0},
+        {"small_side": 0, "large_key_pairs": 20},
+    ):
+        values = found(**limits)
+        assert values.keys() == wanted.keys() and values
+        for pair, value in wanted.items():
+            assert values[pair] == pytest.approx(value)
 
 
 def test_last_rating_counts(spark):
