@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodespark.llm import tokenfile
+from lodespark.llm import minhash, tokenfile
 from lodespark.llm.storage import new_folder
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,8 +30,13 @@ def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return tokenfile.read(spark, folder)
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op3_near_duplicates": op3_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
