@@ -7,8 +7,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodespark.llm import minhash, tokenfile
+from lodespark.llm import decontaminate, minhash, tokenfile
 from lodespark.llm.storage import new_folder
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,9 +35,23 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.judged(decontaminate.hits(docs, benchmark))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_near_duplicates": op3_near_duplicates,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
