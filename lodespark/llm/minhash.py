@@ -49,7 +49,7 @@ def shingle_sets(texts: list[bytes], width: int, ids: WordIds) -> list[np.ndarra
     """Sorted distinct 64-bit codes of the runs of ``width`` words of each text."""
     ids.trim()
     words = [spaced(text) for text in texts]
-    codes = ids.hashes[ids.number([w for some in words for w in some])]
+    codes = ids.codes([w for some in words for w in some])
     factors = _odd(np.random.default_rng(SEED), 64 if width <= 64 else width)
     found, at = [], 0
     for some in words:

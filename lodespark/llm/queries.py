@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodespark.llm import decontaminate, minhash, tokenfile
+from lodespark.llm import decontaminate, minhash, quality, tokenfile
 from lodespark.llm.storage import new_folder
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +35,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.assess(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.judged(decontaminate.hits(docs, benchmark))
@@ -51,6 +56,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_near_duplicates": op3_near_duplicates,
+    "op7_quality_rules": op7_quality_rules,
     "op9_decontamination": op9_decontamination,
 }
 

@@ -32,6 +32,11 @@ class WordIds(dict):
     def number(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """Hashes of the words."""
+        numbers = self.number(words)
+        return self.hashes[numbers]
+
     def trim(self) -> None:
         """Forget all words if there are too many; numbers given before no longer hold."""
         if len(self) > MEMO:
