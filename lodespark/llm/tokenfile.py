@@ -15,7 +15,9 @@ they come; an empty table gives an empty index. Other columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ BLOCK = 4096
 # Tokens lie on both sides of such a space: patterns of byte-level tokenizers take at
 # most one space in front of a word and none inside or behind it.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# Marks that form a run of their own behind letters; an apostrophe may start a contraction.
+MARKS = string.punctuation.replace("'", "")
 
 
 def byte_letters() -> dict[int, str]:
@@ -53,48 +57,53 @@ class Encoder:
     of the text.
     """
 
-    def __init__(self, definition: str, dtype: str):
+    def __init__(self, definition: str, code: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.dtype = dtype
-        self.memo: dict[str, bytes | None] = {}
+        self.code = code
+        self.words = Memo(self.after_space)
+        self.marks = Memo(self.whole)
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def after_space(self, word: str) -> bytes | None:
         """Ids of a word and the space before it; None if it cannot be cut off there."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        stem = word.rstrip(".,")
-        if stem.isalpha():
-            if stem != word:  # the marks behind letters are a token run of their own
-                return self.remember(stem) + self.whole(word[len(stem) :])
-            piece = (" " + word).encode().decode("latin-1").translate(self.letters)
-            return np.array([t.id for t in self.model.tokenize(piece)], self.dtype).tobytes()
-        return self.whole(" " + word)
-
-    def remember(self, word: str) -> bytes | None:
-        ids = self.memo.get(word)
-        if ids is None and word not in self.memo:
-            ids = self.after_space(word)
-            if len(word) <= LONG_WORD:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[word] = ids
-        return ids
+        stem = word.rstrip(MARKS)
+        if not stem.isalpha():
+            return self.whole(" " + word)
+        if stem != word:  # marks behind letters are a run of their own
+            return self.words[stem] + self.marks[word[len(stem) :]]
+        piece = (" " + word).encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         first, *words = text.split(" ")
-        found = list(map(self.memo.get, words))
-        if None in found:
-            found = [self.remember(w) if ids is None else ids for w, ids in zip(words, found)]
-        if None not in found and first and not first[-1].isspace():
-            return self.whole(first) + b"".join(found)
+        if first and not first[-1].isspace():
+            found = list(map(self.words.__getitem__, words))
+            if None not in set(found):
+                return self.whole(first) + b"".join(found)
         first, *words = CUT.split(text)  # some spaces here touch other white space
-        return self.whole(first) + b"".join(self.remember(w) for w in words)
+        return self.whole(first) + b"".join(map(self.words.__getitem__, words))
+
+
+class Memo(dict):
+    """Remembered results of a function of short strings."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key: str):
+        value = self.function(key)
+        if len(key) <= LONG_WORD:
+            if len(self) >= MEMO:
+                self.clear()
+            self[key] = value
+        return value
 
 
 def write(docs: DataFrame, definition: str, end_id: int, folder: str) -> None:
@@ -111,7 +120,7 @@ def write(docs: DataFrame, definition: str, end_id: int, folder: str) -> None:
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value, dtype)
+        encoder = Encoder(sent.value, "H" if dtype == "<u2" else "I")
         end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
         n_docs = n_nulls = n_ids = 0
@@ -190,7 +199,6 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     }
                 )
 
-    one_each = spark.range(0, shards, 1, max(1, shards)).withColumnRenamed("id", "shard")
-    return one_each.join(located, "shard").mapInArrow(
+    return located.repartitionByRange(max(1, shards), "shard").mapInArrow(
         documents, "doc_id long, start long, n_tokens long, ids_crc32 long, shard long"
     )
