@@ -31,10 +31,15 @@ BITS = 18
 SIZE = 1 << BITS
 # Weight of the character block: its values are shares of many n-grams and so rather small.
 CHARACTERS = 8.0
-EPOCHS, BATCH, RATE, DECAY = 12, 128, 0.3, 1e-6
-# Words of a stretch, and the weight of its character n-grams.
-STRETCH = 16
-STRETCH_CHARACTERS = 0.25
+# Bytes of a character n-gram of the whole text and of a stretch, and words of a stretch.
+WHOLE_WIDTH, STRETCH_WIDTH, STRETCH = 4, 6, 16
+BATCH = 128
+WHOLE_EPOCHS, WHOLE_RATE = 12, 0.3
+WORST_EPOCHS, WORST_RATE = 8, 0.05
+# Buckets are weighed for stretches if their log-odds are so many deviations from none: the few
+# marked texts would else be learnt by heart. Counts are smoothed, and the log-odds are
+# scaled down as the start of training.
+DEVIATIONS, SMOOTHING, START = 5.0, 2.0, 0.3
 # Thresholds: a text is kept if it is at least so likely good and at most so likely toxic.
 GOOD, TOXIC = 0.5, 0.5
 # Base rule.
@@ -46,11 +51,15 @@ _TRAILING = bytes(range(0x80, 0xC0))
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _characters(text: bytes) -> np.ndarray:
-    """Buckets of the runs of four bytes, which cover one to four characters."""
-    own = np.frombuffer(b" " + text.lower() + b"  ", np.uint8).astype(np.uint32)
-    runs = own[:-3] | own[1:-2] << 8 | own[2:-1] << 16 | own[3:] << 24
-    return (runs * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+def _characters(text: bytes, width: int) -> np.ndarray:
+    """Bucket of the run of ``width`` bytes from each byte on, of the text after a space."""
+    own = np.frombuffer(b" " + text.lower() + b" " * width, np.uint8).astype(np.uint64)
+    size = len(text) + 1
+    runs = own[:size].copy()
+    for n in range(1, width):
+        runs <<= np.uint64(8)
+        runs |= own[n : n + size]
+    return ((runs * _PAIR) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 def _ngrams(codes: np.ndarray) -> np.ndarray:
@@ -63,7 +72,7 @@ def _ngrams(codes: np.ndarray) -> np.ndarray:
 def features(codes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of a whole text."""
     grams = _ngrams(codes) if len(codes) else np.empty(0, np.int64)
-    marks, repeats = np.unique(_characters(text), return_counts=True)
+    marks, repeats = np.unique(_characters(text, WHOLE_WIDTH), return_counts=True)
     values = [
         np.full(len(grams), 1 / np.sqrt(max(1, len(grams)))),
         CHARACTERS * repeats / repeats.sum(),
@@ -89,7 +98,7 @@ class Stretches:
         places = np.cumsum([0, *(len(w) + 1 for w in words)])
         return cls(
             ((codes * _PAIR) >> np.uint64(64 - BITS)).astype(np.int32),
-            _characters(b" ".join(words)).astype(np.int32),
+            _characters(b" ".join(words), STRETCH_WIDTH),
             starts,
             places[starts],
         )
@@ -99,18 +108,19 @@ class Stretches:
         if not len(self.words):
             return np.zeros(0)
         characters = np.add.reduceat(weights[SIZE:][self.characters], self.character_starts)
-        return np.add.reduceat(weights[:SIZE][self.words], self.word_starts) + (
-            STRETCH_CHARACTERS * characters
-        )
+        return np.add.reduceat(weights[:SIZE][self.words], self.word_starts) + characters
 
     def slopes(self, worst: int, out: np.ndarray, by: float) -> None:
         """Add to ``out`` how the weight of one stretch depends on the weights."""
-        for buckets, starts, base, share in (
-            (self.words, self.word_starts, 0, 1.0),
-            (self.characters, self.character_starts, SIZE, STRETCH_CHARACTERS),
+        for buckets, starts, base in (
+            (self.words, self.word_starts, 0),
+            (self.characters, self.character_starts, SIZE),
         ):
             stop = starts[worst + 1] if worst + 1 < len(starts) else len(buckets)
-            np.add.at(out, base + buckets[starts[worst] : stop], by * share)
+            np.add.at(out, base + buckets[starts[worst] : stop], by)
+
+    def present(self) -> np.ndarray:
+        return np.unique(np.concatenate([self.words, self.characters + SIZE]))
 
 
 @dataclass
@@ -125,7 +135,7 @@ class Model:
 
     def logits(self, codes: np.ndarray, words: list[bytes], text: bytes) -> tuple[float, float]:
         grams = _ngrams(codes) if len(codes) else np.empty(0, np.int64)
-        good = self.bias[0] + CHARACTERS * self.good[SIZE:][_characters(text)].mean()
+        good = self.bias[0] + CHARACTERS * self.good[SIZE:][_characters(text, WHOLE_WIDTH)].mean()
         if len(grams):
             good += self.good[grams].sum() / np.sqrt(len(grams))
         worst = Stretches.of(codes, words).sums(self.toxic)
@@ -139,23 +149,22 @@ class Model:
 class Steps:
     """Adaptive gradient steps for the weights and the bias of a head."""
 
-    def __init__(self):
-        self.weights, self.seen = np.zeros(2 * SIZE), np.full(2 * SIZE, 1e-8)
-        self.bias, self.bias_seen = 0.0, 1e-8
+    def __init__(self, rate: float, weights: np.ndarray, bias: float = 0.0):
+        self.rate, self.weights, self.bias = rate, weights, bias
+        self.seen, self.bias_seen = np.full(len(weights), 1e-8), 1e-8
 
     def take(self, slopes: np.ndarray, wrong: float) -> None:
-        slopes = slopes + DECAY * self.weights
         self.seen += slopes**2
-        self.weights -= RATE * slopes / np.sqrt(self.seen)
+        self.weights -= self.rate * slopes / np.sqrt(self.seen)
         self.bias_seen += wrong**2
-        self.bias -= RATE * wrong / np.sqrt(self.bias_seen)
+        self.bias -= self.rate * wrong / np.sqrt(self.bias_seen)
 
 
-def _batches(wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _batches(wanted: np.ndarray, epochs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of each step and the weights that give both classes the same sum."""
     rng = np.random.default_rng(5)
     balance = np.where(wanted > 0, 0.5 / wanted.mean(), 0.5 / (1 - wanted.mean()))
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(wanted))
         for low in range(0, len(order), BATCH):
             batch = order[low : low + BATCH]
@@ -167,8 +176,8 @@ def _wrong(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _fit_whole(rows: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray) -> Steps:
-    steps = Steps()
-    for batch, balance in _batches(wanted):
+    steps = Steps(WHOLE_RATE, np.zeros(2 * SIZE))
+    for batch, balance in _batches(wanted, WHOLE_EPOCHS):
         lengths = [len(rows[n][0]) for n in batch]
         buckets = np.concatenate([rows[n][0] for n in batch])
         values = np.concatenate([rows[n][1] for n in batch])
@@ -181,8 +190,10 @@ def _fit_whole(rows: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray) ->
 
 
 def _fit_worst(rows: list[Stretches], wanted: np.ndarray) -> Steps:
-    steps = Steps()
-    for batch, balance in _batches(wanted):
+    start = _log_odds(rows, wanted)
+    chosen = start != 0
+    steps = Steps(WORST_RATE, START * start, -3.0)
+    for batch, balance in _batches(wanted, WORST_EPOCHS):
         sums = [rows[n].sums(steps.weights) for n in batch]
         logits = np.array([s.max() if len(s) else 0.0 for s in sums]) + steps.bias
         wrong = _wrong(logits, wanted[batch]) * balance
@@ -190,10 +201,25 @@ def _fit_worst(rows: list[Stretches], wanted: np.ndarray) -> Steps:
         for n, s, by in zip(batch, sums, wrong):
             if len(s):
                 rows[n].slopes(int(s.argmax()), slopes, by)
-        steps.take(slopes, wrong.sum())
+        steps.take(slopes * chosen, wrong.sum())
     return steps
 
 
+def _log_odds(rows: list[Stretches], wanted: np.ndarray) -> np.ndarray:
+    """Log-odds of the classes for texts that have a bucket; 0 where they may be chance."""
+    share = wanted.mean()
+    odds, variance = np.zeros(2 * SIZE), np.zeros(2 * SIZE)
+    for sign, part, prior in ((1, wanted > 0, share), (-1, wanted == 0, 1 - share)):
+        texts = np.zeros(2 * SIZE)
+        for row, inside in zip(rows, part):
+            if inside:
+                texts[row.present()] += 1
+        texts += SMOOTHING * prior
+        odds += sign * np.log(texts / part.sum())
+        variance += 1 / texts
+    return np.where(np.abs(odds) > DEVIATIONS * np.sqrt(variance), odds, 0.0)
+
+
 def _calibrated(logits: np.ndarray, wanted: np.ndarray) -> tuple[float, float]:
     """Slope and shift that make the logits probabilities, by Newton steps."""
     x = np.stack([logits, np.ones_like(logits)], axis=1)
