@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodespark.llm import decontaminate, minhash, quality, tokenfile
+from lodespark.llm import decontaminate, minhash, mixing, quality, tokenfile
 from lodespark.llm.storage import new_folder
+from lodespark.staging import stage
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -40,6 +41,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    # Counting words reads every text, so the rows are kept for the histograms and the result.
+    rows = stage(mixing.measured(docs).select("doc_id", "source", "size", "ticket"))
+    return mixing.taken(rows, mixing.plan(rows)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.judged(decontaminate.hits(docs, benchmark))
@@ -57,7 +67,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_near_duplicates": op3_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
+    "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_source_mix": mixing.SQL,
+}
