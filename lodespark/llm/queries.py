@@ -6,10 +6,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodespark.llm import decontaminate, minhash, mixing, quality, tokenfile
+from lodespark.llm import decontaminate, minhash, mixing, pii, quality, tokenfile
 from lodespark.llm.storage import new_folder
 from lodespark.staging import stage
 
@@ -36,6 +36,25 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans: Column) -> Column:
+        return F.concat_ws(
+            ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        )
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -66,6 +85,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_personal_data": op4_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
