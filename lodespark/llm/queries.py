@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodespark.llm import chat, decontaminate, minhash, mixing, pii, quality, tokenfile
+from lodespark.llm import chat, decontaminate, minhash, mixing, ngramlm, pii, quality, tokenfile
 from lodespark.llm.storage import new_folder
 from lodespark.staging import stage
 
@@ -98,6 +98,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngramlm.fit(docs.where(ngramlm.fold() != 2))
+    ids = docs.select(F.struct("doc_id", (ngramlm.fold() == 2).alias("held_out")).alias("doc_id"), "text")
+    return ngramlm.score(ids, model).select(
+        "doc_id.doc_id",
+        "doc_id.held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_near_duplicates": op3_near_duplicates,
@@ -106,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES: dict[str, str] = {
