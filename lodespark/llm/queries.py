@@ -9,13 +9,15 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 
-from lodespark.llm import chat, decontaminate, minhash, mixing, ngramlm, pii, quality, tokenfile
+from lodespark.llm import chat, decontaminate, licenses, minhash, mixing, ngramlm, pii, quality, tokencount, tokenfile
 from lodespark.llm.storage import new_folder
 from lodespark.staging import stage
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,31 @@ def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return tokenfile.read(spark, folder)
 
 
+def document_files(docs: DataFrame) -> DataFrame:
+    """The documents as a file tree with ten files in a directory and ten of these in another.
+
+    Every tenth document is the licence file of its directory, every hundredth that of the
+    directory above.
+    """
+    number = F.col("doc_id").cast("long")
+    root = F.concat(F.lit("corpus/"), F.floor(number / 100))
+    below = F.concat(root, F.lit("/"), F.floor(number / 10))
+    path = (
+        F.when(number % 100 == 0, F.concat(root, F.lit("/LICENSE")))
+        .when(number % 10 == 0, F.concat(below, F.lit("/LICENSE")))
+        .otherwise(F.concat(below, F.lit("/"), number, F.lit(".txt")))
+    )
+    return docs.select(path.alias("path"), "text")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(
+        [(licence, n, notice) for n, (licence, notice) in enumerate(licenses.TEMPLATES)],
+        "licence string, template int, notice string",
+    )
+    return licenses.scan(document_files(table(spark, sf_dir, "documents")), templates)
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -71,6 +98,21 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(stage(chat.marked(records.unionByName(planted))))
 
 
+def unigram_scores(path: str = PIECES) -> dict[str, float]:
+    """Pieces of a sentence-piece file that stand for text, scored by their rank in it."""
+    model = SentencePieceProcessor(model_file=path)
+    pieces = [
+        model.id_to_piece(n)
+        for n in range(model.get_piece_size())
+        if not (model.is_control(n) or model.is_unknown(n) or model.is_byte(n))
+    ]
+    return tokencount.ranked_scores(pieces)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.counts(table(spark, sf_dir, "documents"), unigram_scores())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -115,9 +157,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_license_scan": op2_license_scan,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_personal_data": op4_personal_data,
     "op5_chat_format": op5_chat_format,
+    "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
@@ -125,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.SQL,
     "op5_chat_format": chat.SQL,
     "op8_source_mix": mixing.SQL,
 }
