@@ -52,9 +52,9 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes whole texts with one tokenizer, each distinct word of a task once.
 
-    A text is cut at single spaces between other characters, where no token of a byte-level
-    tokenizer without normaliser can lie across. The ids of the pieces, joined, are those
-    of the text.
+    A text is cut at single spaces and line ends between other characters, where no token of a
+    byte-level tokenizer without normaliser can lie across: a space goes with the word behind
+    it, a line end stands alone. The ids of the pieces, joined, are those of the text.
     """
 
     def __init__(self, definition: str, code: str):
@@ -62,32 +62,38 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.code = code
-        self.words = Memo(self.after_space)
+        self.after_space = Memo(lambda word: self.piece(" ", word))
+        self.first = Memo(lambda word: self.piece("", word))
         self.marks = Memo(self.whole)
+        self.line_end = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def after_space(self, word: str) -> bytes | None:
+    def piece(self, space: str, word: str) -> bytes | None:
         """Ids of a word and the space before it; None if it cannot be cut off there."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         stem = word.rstrip(MARKS)
         if not stem.isalpha():
-            return self.whole(" " + word)
+            return self.whole(space + word)
         if stem != word:  # marks behind letters are a run of their own
-            return self.words[stem] + self.marks[word[len(stem) :]]
-        piece = (" " + word).encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+            known = self.after_space if space else self.first
+            return known[stem] + self.marks[word[len(stem) :]]
+        letters = (space + word).encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        first, *words = text.split(" ")
-        if first and not first[-1].isspace():
-            found = list(map(self.words.__getitem__, words))
-            if None not in set(found):
-                return self.whole(first) + b"".join(found)
-        first, *words = CUT.split(text)  # some spaces here touch other white space
-        return self.whole(first) + b"".join(map(self.words.__getitem__, words))
+        find = self.after_space.__getitem__
+        try:
+            lines = []
+            for line in text.split("\n"):
+                first, *words = line.split(" ")
+                lines.append(self.first[first] + b"".join(map(find, words)))
+            return self.line_end.join(lines)
+        except TypeError:  # a None: white space that touches other white space
+            first, *words = CUT.split(text)
+            return self.whole(first) + b"".join(map(find, words))
 
 
 class Memo(dict):
