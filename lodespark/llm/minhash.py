@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodespark.llm.components import connected_components
@@ -28,13 +28,14 @@ from lodespark.staging import spread, stage
 ROWS_PER_BAND = 6
 BANDS = 40
 SEED = 11
-# Share of equal minima below which a pair is not verified on its sets. At a similarity of 0.8
-# the share of 240 minima is 0.8 with a deviation of 0.026; equal bytes by chance only add to it.
-AGREEMENT = 0.64
+# A signature has two bits of each minimum. At a similarity of 0.8 a pair of bits is equal with
+# probability 0.85, so that 36 of 240 differ, with a deviation of 5.5; pairs of classes beyond are
+# not verified on their sets.
+MOST_DIFFERENT = 61
 # Rounds in which each class is compared with one other of its bands before all others are.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 # Members of a band that are joined together; larger bands are joined chunk by chunk.
-CHUNK = 64
+CHUNK = 512
 # Members that are compared with one copy of a hot class.
 SALT = 500
 # Ids that are broadcast, in 8 bytes each, to pick texts without a shuffle; more are joined.
@@ -101,7 +102,11 @@ class Signer:
         return ((keys ^ (keys >> np.uint64(30))) * self.row).view(np.int64)
 
     def signature(self, minima: np.ndarray) -> np.ndarray:
-        return ((minima * self.a[0]) >> np.uint64(56)).astype(np.uint8)
+        """Two bits of each minimum, those of 32 in a 64-bit number."""
+        bits = (minima * self.a[0]) >> np.uint64(62)
+        padded = np.zeros((len(bits), -(-bits.shape[1] // 32) * 32), np.uint64)
+        padded[:, : bits.shape[1]] = bits << (np.arange(bits.shape[1], dtype=np.uint64) % 32 * 2)
+        return np.bitwise_or.reduce(padded.reshape(len(bits), -1, 32), axis=2).view(np.int64)
 
 
 def _binary(values: list[bytes]) -> pa.Array:
@@ -135,8 +140,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         "bands": pa.array(
                             [None if r is None else bands[r] for r in rows], pa.list_(pa.int64())
                         ),
-                        "signature": _binary(
-                            [None if r is None else signatures[r].tobytes() for r in rows]
+                        "signature": pa.array(
+                            [None if r is None else signatures[r] for r in rows],
+                            pa.list_(pa.int64()),
                         ),
                     }
                 )
@@ -144,33 +150,19 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     return rows.mapInArrow(
         sketch,
-        "doc_id long, n_shingles long, code binary, bands array<long>, signature binary",
+        "doc_id long, n_shingles long, code binary, bands array<long>, signature array<long>",
     )
 
 
-def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures agree often enough for the sets to be compared."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = BANDS * ROWS_PER_BAND
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, size)
-                for c in ("sig_a", "sig_b")
-            )
-            same = (left == right).sum(axis=1)
-            yield batch.select(["a", "b"]).filter(pa.array(same >= AGREEMENT * size))
-
-    left = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sig_a"))
-    right = signatures.select(F.col("doc_id").alias("b"), F.col("signature").alias("sig_b"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", "sig_a", "sig_b")
-        .mapInArrow(agree, "a long, b long")
-    )
+def _alike(left: str, right: str, percent: int) -> Column:
+    """Whether the signatures and set sizes of two classes leave it open that they are linked."""
+    different = F.lit(0)
+    for n in range(-(-BANDS * ROWS_PER_BAND // 32)):
+        both = F.get(f"{left}.signature", F.lit(n)).bitwiseXOR(F.get(f"{right}.signature", F.lit(n)))
+        pairs = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        different = different + F.bit_count(pairs)
+    small, large = (f(f"{left}.n_shingles", f"{right}.n_shingles") for f in (F.least, F.greatest))
+    return (different <= MOST_DIFFERENT) & (small * 100 >= large * percent)
 
 
 def verified(
@@ -243,49 +235,61 @@ def verified(
     )
 
 
-def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """One pair for each class: with a class of another component in one of its bands.
+def _star_pairs(members: DataFrame, sharing: DataFrame, turn: int, percent: int) -> DataFrame:
+    """At most one pair for each class: with a class of another component in one of its bands.
 
-    The centre of a band is its smallest class in an order that changes with the turn.
+    The centre of a band is first the class that shares its bands with the most others, as the
+    original of a family of edited copies does, then one by an order that changes with the turn.
     """
-    order = F.struct(F.xxhash64(F.col("doc_id"), F.lit(turn)), "doc_id", "component")
-    if not turn:
-        order = F.struct(F.lit(0).cast("long"), "doc_id", "component")
-    centres = members.groupBy("band").agg(F.min(order).alias("centre"))
-    return (
+    order = F.xxhash64(F.col("doc_id"), F.lit(turn)) if turn else F.col("degree")
+    ranked = members.withColumn("order", order)
+    centres = ranked.groupBy("band").agg(
+        F.max(F.struct("order", "doc_id", "component")).alias("centre")
+    )
+    pairs = (
         members.join(centres, "band")
         .where("component != centre.component")
         .groupBy("doc_id")
-        .agg(F.min("centre.doc_id").alias("centre"))
-        .select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
+        .agg(F.max(F.struct("centre.order", "centre.doc_id")).alias("centre"))
+        .select(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
+    )
+    classes = sharing.select("doc_id", "n_shingles", "signature").alias
+    return (
+        pairs.join(classes("x"), F.col("a") == F.col("x.doc_id"))
+        .join(classes("y"), F.col("b") == F.col("y.doc_id"))
+        .where(_alike("x", "y", percent))
+        .select("a", "b")
     )
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of classes that share a band and lie in different components."""
+def _cross_pairs(members: DataFrame, sharing: DataFrame, percent: int) -> DataFrame:
+    """All likely pairs of classes that share a band and lie in different components.
+
+    A pair is taken in the first band that it shares. A band is dealt into chunks, and each
+    two of them meet in a task.
+    """
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = members.join(sizes, "band").withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    dealt = (
+        members.join(sizes, "band")
+        .join(sharing.select("doc_id", "n_shingles", "signature", "bands"), "doc_id")
+        .select("*", chunk.alias("chunk"), F.array_position("bands", F.col("band")).alias("number"))
     )
-    left = dealt.select(
-        "band",
-        F.col("chunk").alias("i"),
-        F.explode(F.sequence(F.col("chunk"), F.col("chunks") - 1)).alias("j"),
-        F.col("doc_id").alias("x"),
-        F.col("component").alias("cx"),
+    left = dealt.withColumnsRenamed({"chunk": "i"}).withColumn(
+        "j", F.explode(F.sequence(F.col("i"), F.col("chunks") - 1))
     )
-    right = dealt.select(
-        "band",
-        F.explode(F.sequence(F.lit(0), F.col("chunk"))).alias("i"),
-        F.col("chunk").alias("j"),
-        F.col("doc_id").alias("y"),
-        F.col("component").alias("cy"),
+    right = dealt.withColumnsRenamed({"chunk": "j"}).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("j")))
     )
-    return (
-        left.join(right, ["band", "i", "j"])
-        .where("cx != cy and (i < j or x < y)")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    equal = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
+    meet = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("band", "i", "j")]
+    other = F.expr("x.component != y.component and (x.i < x.j or x.doc_id < y.doc_id)")
+    first = F.array_position(equal, True) == F.col("x.number")
+    joined = left.alias("x").join(
+        right.alias("y"), [*meet, other, _alike("x", "y", percent), first]
+    )
+    return joined.select(
+        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
     )
 
 
@@ -295,7 +299,7 @@ def _open_bands(shared: DataFrame, components: DataFrame | None) -> DataFrame:
         return shared.withColumn("component", F.col("doc_id"))
     labelled = shared.join(
         components.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    ).select("band", "doc_id", "degree", F.coalesce("component", "doc_id").alias("component"))
     mixed = (
         labelled.groupBy("band")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -320,37 +324,39 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = stage(sketches(docs, width))
+    kept = ("doc_id", "n_shingles", "bands", "signature")
     classes = stage(
         sketched.where("doc_id is not null and n_shingles > 0")
         .groupBy("code")
-        .agg(F.min(F.struct("doc_id", "bands", "signature")).alias("first"))
-        .select("code", "first.doc_id", "first.bands", "first.signature")
+        .agg(F.min(F.struct(*kept)).alias("first"))
+        .select("code", "first.*")
     )
     # An id with several texts stands for the one of the smallest code.
-    nodes = classes.groupBy("doc_id").agg(
-        F.min(F.struct("code", "bands", "signature")).alias("first")
-    )
+    nodes = classes.groupBy("doc_id").agg(F.min(F.struct("code", *kept[1:])).alias("first"))
     banded = nodes.select("doc_id", F.explode("first.bands").alias("band"))
     common = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(banded.join(common, "band", "left_semi"))
-    sharing = stage(
-        nodes.select("doc_id", "first.code", "first.signature").join(
-            shared, "doc_id", "left_semi"
-        )
-    )
+    shared = stage(banded.join(common, "band"))
+    degrees = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    sharing = stage(nodes.select("doc_id", "first.*").join(degrees, "doc_id"))
+    shared = shared.join(sharing.select("doc_id", "degree"), "doc_id")
     texts = stage(_few(docs, sharing.select("doc_id")))
 
     edges = components = None
-    members = _open_bands(shared, None)
+    members = stage(_open_bands(shared, None))
     for turn in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(members, turn) if turn < STAR_ROUNDS else _cross_pairs(members)
-        likely = stage(_agreeing(pairs, sharing))
+        pairs = (
+            _star_pairs(members, sharing, turn, percent)
+            if turn < STAR_ROUNDS
+            else _cross_pairs(members, sharing, percent)
+        )
+        likely = stage(pairs)
         if likely.isEmpty():
             continue
         found = verified(likely, sharing.select("doc_id", "code"), texts, width, percent)
         edges = stage(found.toDF("u", "v") if edges is None else edges.union(found))
         components = stage(connected_components(edges))
-        members = stage(_open_bands(shared, components))
+        if turn < STAR_ROUNDS:
+            members = stage(_open_bands(shared, components))
 
     reached = classes.join(
         components.withColumnRenamed("node", "doc_id"), "doc_id", "left"

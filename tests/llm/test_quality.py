@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lodespark.llm import quality
+from tests.llm.conftest import ODD_TEXTS
+
+SF_DIR = "/root/testdata/sf0.1"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    runs = list(zip(words, words[1:], words[2:]))
+    seen = Counter(runs)
+    hit = {n + k for n, run in enumerate(runs) if seen[run] > 1 for k in range(3)}
+    failed = len(words) < 50 or 100 * len(hit) > 50 * len(words)
+    marks = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), marks, len(lines) - len(set(lines)), len(hit), failed
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    return docs, spark.read.parquet(f"{SF_DIR}/labels.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    docs, labels = tables
+    return quality.fit(docs, labels.where("doc_id % 5 != 0"))
+
+
+def test_held_out_accuracy(tables, model):
+    docs, labels = tables
+    held = labels.where("doc_id % 5 = 0").join(docs, "doc_id")
+    rows = quality.assess(held, model).where("not base_failed").collect()
+    assert len(rows) > 500
+    good = np.array([r["quality"] for r in rows])
+    toxic = np.array([r["toxic"] for r in rows])
+    p_good, p_toxic = (np.array([r[c] for r in rows]) for c in ("p_good", "p_toxic"))
+    assert ((p_good >= quality.GOOD) == (good > 0)).mean() > 0.98
+    assert (p_toxic[toxic > 0] > quality.TOXIC).mean() > 0.9
+    assert (p_toxic[toxic == 0] > quality.TOXIC).mean() < 0.02
+    assert np.mean((p_good - good) ** 2) < 0.02  # calibrated
+
+
+def test_base_counts(frame, model):
+    texts = [*ODD_TEXTS, "a b c a b c\na b c a b c\n\n a", "<#> x | y\n" * 30, "é " * 60]
+    docs = frame([(n, t, "x") for n, t in enumerate(texts)], "doc_id long, text string, other string")
+    found = {r["doc_id"]: r for r in quality.assess(docs, model).collect()}
+    assert len(found) == len(texts)
+    for n, text in enumerate(texts):
+        row = found[n]
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        assert tuple(row[c] for c in names) == base(text or ""), repr(text)
+        assert not (row["base_failed"] and row["kept"]) and row["other"] == "x"
+    assert quality.assess(docs.limit(0), model).collect() == []
+
+
+def test_without_labels(frame, tables):
+    docs, labels = tables
+    plain = quality.fit(docs, labels.limit(0))
+    one_class = quality.fit(docs, labels.where("quality = 1 and toxic = 0").limit(50))
+    nulls = labels.selectExpr("doc_id", "cast(null as int) quality", "toxic")
+    text = "plain words " * 10 + " ".join(f"w{n}" for n in range(60))
+    for model in (plain, one_class, quality.fit(docs, nulls)):
+        (row,) = quality.assess(frame([(1, text)], "doc_id long, text string"), model).collect()
+        assert row["kept"]
