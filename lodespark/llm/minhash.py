@@ -28,6 +28,7 @@ from lodespark.staging import spread, stage
 ROWS_PER_BAND = 6
 BANDS = 40
 SEED = 11
+WORDS = -(-BANDS * ROWS_PER_BAND // 32)  # of a signature
 # A signature has two bits of each minimum. At a similarity of 0.8 a pair of bits is equal with
 # probability 0.85, so that 36 of 240 differ, with a deviation of 5.5; pairs of classes beyond are
 # not verified on their sets.
@@ -104,9 +105,9 @@ class Signer:
     def signature(self, minima: np.ndarray) -> np.ndarray:
         """Two bits of each minimum, those of 32 in a 64-bit number."""
         bits = (minima * self.a[0]) >> np.uint64(62)
-        padded = np.zeros((len(bits), -(-bits.shape[1] // 32) * 32), np.uint64)
+        padded = np.zeros((len(bits), WORDS * 32), np.uint64)
         padded[:, : bits.shape[1]] = bits << (np.arange(bits.shape[1], dtype=np.uint64) % 32 * 2)
-        return np.bitwise_or.reduce(padded.reshape(len(bits), -1, 32), axis=2).view(np.int64)
+        return np.bitwise_or.reduce(padded.reshape(len(bits), WORDS, 32), axis=2).view(np.int64)
 
 
 def _binary(values: list[bytes]) -> pa.Array:
@@ -157,7 +158,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 def _alike(left: str, right: str, percent: int) -> Column:
     """Whether the signatures and set sizes of two classes leave it open that they are linked."""
     different = F.lit(0)
-    for n in range(-(-BANDS * ROWS_PER_BAND // 32)):
+    for n in range(WORDS):
         both = F.get(f"{left}.signature", F.lit(n)).bitwiseXOR(F.get(f"{right}.signature", F.lit(n)))
         pairs = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseAND(F.lit(0x5555555555555555))
         different = different + F.bit_count(pairs)
