@@ -198,14 +198,21 @@ def item_similarity(
     )
 
 
-def unrated(ratings: DataFrame, user_id: int, low: int = 1, high: int = 1000) -> DataFrame:
-    """Requests ``(user_id, item_id)`` for the items in a range that a user has not rated."""
+def unrated(
+    ratings: DataFrame, user_id: int, low: int | None = None, high: int | None = None
+) -> DataFrame:
+    """Requests ``(user_id, item_id)`` for the items of the catalogue that a user has not rated.
+
+    The catalogue is every rated item, or those with ids from ``low`` to ``high`` if given.
+    """
     rated = ratings.where(F.col("user_id") == user_id).select("item_id")
-    return (
-        ratings.sparkSession.range(low, high + 1)
-        .select(F.lit(user_id).cast("long").alias("user_id"), F.col("id").alias("item_id"))
-        .join(rated, "item_id", "left_anti")
-        .select("user_id", "item_id")
+    items = ratings.select("item_id").distinct()
+    if low is not None:
+        items = items.where(F.col("item_id") >= low)
+    if high is not None:
+        items = items.where(F.col("item_id") <= high)
+    return items.join(rated, "item_id", "left_anti").select(
+        F.lit(user_id).cast("long").alias("user_id"), "item_id"
     )
 
 

@@ -24,13 +24,18 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def returns_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers (even nodes) and the parts they returned (odd nodes)."""
-    returned = order_lines(spark, sf_dir).where("l_returnflag = 'R'")
-    pairs = returned.select(
-        (F.col("o_custkey") * 2).alias("customer"), (F.col("l_partkey") * 2 + 1).alias("part")
+def parts_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of the parts on neighbouring lines of an order, given as adjacency lists."""
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+    following = lines.select(
+        "l_orderkey",
+        (F.col("l_linenumber") - 1).alias("l_linenumber"),
+        F.col("l_partkey").alias("friend"),
     )
-    return graph.undirected(pairs, "customer", "part")
+    adjacency = lines.join(following, ["l_orderkey", "l_linenumber"]).select(
+        F.col("l_partkey").alias("user"), F.array("friend").alias("friends")
+    )
+    return graph.edges(adjacency)
 
 
 def turn_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:

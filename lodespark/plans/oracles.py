@@ -10,12 +10,11 @@ from lodespark.operators.clustering import ELBOW
 from lodespark.operators.latent import ENSEMBLE_NEIGHBOURS
 from lodespark.operators.neardup import BANDS, MIN_AGREEMENT, ROWS_PER_BAND
 from lodespark.operators.recommend import EPS, MIN_OVERLAP, NEIGHBOURS
-from lodespark.operators.sampling import INDEX_GROUPS, MIN_USER_RATINGS
+from lodespark.operators.sampling import IDS_PER_GROUP, MIN_USER_RATINGS
 from lodespark.operators.tfidf import MAX_DISTANCE, PLANES
 from lodespark.plans.queries import (
     CLUSTERS,
     COEFFICIENTS,
-    MIN_COMMON,
     NEIGHBOURHOOD_WEIGHTS,
     SAMPLE,
     STEPS,
@@ -32,9 +31,10 @@ def _with(*parts: str) -> str:
 
 EDGES = """
 edges AS (
-  SELECT DISTINCT least(o_custkey * 2, l_partkey * 2 + 1) AS a,
-         greatest(o_custkey * 2, l_partkey * 2 + 1) AS b
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')
+  SELECT DISTINCT least(x.l_partkey, y.l_partkey) AS a, greatest(x.l_partkey, y.l_partkey) AS b
+  FROM lineitem x JOIN lineitem y
+    ON x.l_orderkey = y.l_orderkey AND x.l_linenumber + 1 = y.l_linenumber
+  WHERE x.l_partkey <> y.l_partkey)
 """
 MUTUAL = """
 ends AS (SELECT a AS pivot, b AS node FROM edges UNION ALL SELECT b, a FROM edges),
@@ -92,7 +92,7 @@ classes AS MATERIALIZED (
   SELECT class_id AS doc_id, count(*) AS copies, any_value(n) AS n FROM copies GROUP BY 1)
 """
 _HASHES = ",\n".join(
-    f"    coalesce(min((({a} % c) * r + {b} % c) % c), any_value(c))" for a, b in COEFFICIENTS
+    f"    coalesce(min((coalesce(nullif({a} % c, 0), 1) * r + {b} % c) % c), any_value(c))" for a, b in COEFFICIENTS
 )
 SIGNATURES = f"""
 vocabulary AS (
@@ -115,15 +115,12 @@ bands AS MATERIALIZED (
   SELECT doc_id, band, sig[band * {ROWS_PER_BAND} + 1 : (band + 1) * {ROWS_PER_BAND}] AS bucket
   FROM (SELECT doc_id, sig, unnest(range({BANDS})) AS band FROM signatures))
 """
-DUPLICATES = f"""
+_CANDIDATES = """
 candidates AS (
   SELECT DISTINCT x.doc_id AS a, y.doc_id AS b
   FROM bands x JOIN bands y ON x.band = y.band AND x.bucket = y.bucket AND x.doc_id < y.doc_id),
-agreeing AS (
-  SELECT a, b FROM (
-    SELECT a, b, unnest(x.sig) AS u, unnest(y.sig) AS v
-    FROM candidates JOIN signatures x ON x.doc_id = a JOIN signatures y ON y.doc_id = b)
-  GROUP BY a, b HAVING avg((u = v)::INT) >= {MIN_AGREEMENT}),
+"""
+_JACCARD = """
 shared AS (
   SELECT a, b, count(y.shingle) AS n
   FROM agreeing JOIN shingles x ON x.doc_id = a
@@ -134,6 +131,16 @@ duplicates AS (
   FROM shared s JOIN classes x ON x.doc_id = s.a JOIN classes y ON y.doc_id = s.b
   UNION ALL SELECT doc_id, doc_id, copies, copies, 1.0 FROM classes WHERE copies > 1)
 """
+ALL_CANDIDATES = f"""{_CANDIDATES}
+agreeing AS (SELECT a, b FROM candidates),
+{_JACCARD}"""
+DUPLICATES = f"""{_CANDIDATES}
+agreeing AS (
+  SELECT a, b FROM (
+    SELECT a, b, unnest(x.sig) AS u, unnest(y.sig) AS v
+    FROM candidates JOIN signatures x ON x.doc_id = a JOIN signatures y ON y.doc_id = b)
+  GROUP BY a, b HAVING avg((u = v)::INT) >= {MIN_AGREEMENT}),
+{_JACCARD}"""
 
 # TF-IDF ---------------------------------------------------------------------------
 
@@ -181,6 +188,28 @@ buckets AS (
   SELECT doc_id, ({_BITS})::BIGINT AS bucket FROM weights GROUP BY 1)
 """
 
+
+def _normal(plane: int) -> str:
+    """Component of a plane: one of the two normal numbers of eight digits of the digest."""
+    at = 8 * (plane // 2) + 1
+    first, second = (
+        f"((('0x' || substr(digest, {place}, 4))::INTEGER + 0.5) / 65536.0)::DOUBLE"
+        for place in (at, at + 4)
+    )
+    turn = ("cos", "sin")[plane % 2]
+    return f"sqrt(-2.0 * ln({first})) * {turn}(2.0 * pi() * {second})"
+
+
+_GAUSSIAN_BITS = "\n    + ".join(
+    f"(CASE WHEN round(sum(weight * {_normal(k)}), 6) >= 0 THEN {1 << k} ELSE 0 END)"
+    for k in range(PLANES)
+)
+GAUSSIAN_BUCKETS = f"""
+buckets AS (
+  SELECT doc_id, ({_GAUSSIAN_BITS})::BIGINT AS bucket
+  FROM (SELECT *, md5(term) || md5('1:' || term) AS digest FROM weights) GROUP BY 1)
+"""
+
 # k-means --------------------------------------------------------------------------
 
 
@@ -239,7 +268,7 @@ centered AS MATERIALIZED (
 TARGET_REQUESTS = f"""
 requests AS (
   SELECT {TARGET_USER}::BIGINT AS user_id, i AS item_id
-  FROM (SELECT unnest(range(1, 1001)) AS i)
+  FROM (SELECT DISTINCT item_id AS i FROM ratings)
   WHERE i NOT IN (SELECT item_id FROM ratings WHERE user_id = {TARGET_USER}))
 """
 _COSINE = (
@@ -326,16 +355,22 @@ def _number(label: str, column: str) -> str:
     return f"('0x' || substr({_digest(label, column)}, 1, 15))::BIGINT"
 
 
+def _group(column: str, source: str) -> str:
+    """Group in which an id is numbered: a digest modulo the number of groups."""
+    groups = f"(SELECT greatest(1, ceil(count(*) / {IDS_PER_GROUP}.0))::BIGINT FROM {source})"
+    return f"(('0x' || substr(md5({column}::VARCHAR), 1, 15))::BIGINT % {groups})"
+
+
 VALIDATION = f"""
 eligible AS (SELECT user_id FROM user_means WHERE count >= {MIN_USER_RATINGS}),
 positives AS (
   SELECT user_id, item_id, 1 AS label, ts FROM ratings JOIN eligible USING (user_id)
   ORDER BY {_digest('positive', 'user_id', 'item_id')}, user_id, item_id LIMIT {SAMPLE}),
 numbered_users AS (
-  SELECT user_id, row_number() OVER (ORDER BY user_id % {INDEX_GROUPS}, user_id) - 1 AS p
+  SELECT user_id, row_number() OVER (ORDER BY {_group('user_id', 'eligible')}, user_id) - 1 AS p
   FROM eligible),
 numbered_items AS (
-  SELECT item_id, row_number() OVER (ORDER BY item_id % {INDEX_GROUPS}, item_id) - 1 AS p
+  SELECT item_id, row_number() OVER (ORDER BY {_group('item_id', 'item_means')}, item_id) - 1 AS p
   FROM item_means),
 draws AS (
   SELECT d, {_number('user', 'd')} % (SELECT count(*) FROM eligible) AS up,
@@ -413,10 +448,16 @@ grid_scores AS (
 REQUESTS = "requests AS (SELECT user_id, item_id FROM sample)"
 _GRID_WITH = _with(RATINGS, VALIDATION, REQUESTS, *COMPONENTS, GRID_SCORES)
 
+_SAME_BUCKET = """ SELECT doc_a, doc_b, copies_a, copies_b, round(similarity, 6) AS similarity
+    FROM similar_docs JOIN buckets x ON x.doc_id = doc_a JOIN buckets y ON y.doc_id = doc_b
+    WHERE x.bucket = y.bucket"""
+
 ORACLES: dict[str, str] = {
     "graph_edges": _with(EDGES) + " SELECT a, b FROM edges",
     "mutual_neighbor_counts": _with(EDGES, MUTUAL)
-    + f" SELECT a, b, mutual FROM mutual WHERE mutual >= {MIN_COMMON}",
+    + """ SELECT node, count(*) AS candidates, sum(mutual)::BIGINT AS mutual FROM (
+      SELECT unnest([a, b]) AS node, mutual FROM mutual
+      WHERE (a, b) NOT IN (SELECT (a, b) FROM edges)) GROUP BY 1""",
     "friend_recommendations": _with(EDGES, MUTUAL)
     + """ SELECT a, b, mutual FROM mutual WHERE (a, b) NOT IN (SELECT (a, b) FROM edges)
     ORDER BY mutual DESC, a, b LIMIT 10""",
@@ -441,7 +482,7 @@ ORACLES: dict[str, str] = {
     "near_duplicates": _with(SHINGLES, SIGNATURES, DUPLICATES)
     + """ SELECT doc_a, doc_b, copies_a, copies_b, round(jaccard, 6) AS jaccard
     FROM duplicates""",
-    "lsh_amplification": _with(SHINGLES, SIGNATURES, DUPLICATES)
+    "lsh_amplification": _with(SHINGLES, SIGNATURES, ALL_CANDIDATES)
     + """ SELECT doc_a, doc_b, round(s, 6) AS jaccard,
     round(1 - pow(1 - pow(s, 2), 3), 6) AS and2_or3,
     round(pow(1 - pow(1 - s, 3), 2), 6) AS or3_and2,
@@ -457,10 +498,9 @@ ORACLES: dict[str, str] = {
     FROM similar_docs""",
     "tfidf_hyperplane_keys": _with(TOKENS, CLASS_LISTS, WEIGHTS, BUCKETS)
     + " SELECT doc_id, bucket FROM buckets",
-    "tfidf_lsh_pairs": _with(TOKENS, CLASS_LISTS, WEIGHTS, COSINES, BUCKETS)
-    + """ SELECT doc_a, doc_b, copies_a, copies_b, round(similarity, 6) AS similarity
-    FROM similar_docs JOIN buckets x ON x.doc_id = doc_a JOIN buckets y ON y.doc_id = doc_b
-    WHERE x.bucket = y.bucket""",
+    "tfidf_lsh_pairs": _with(TOKENS, CLASS_LISTS, WEIGHTS, COSINES, BUCKETS) + _SAME_BUCKET,
+    "tfidf_gaussian_lsh_pairs": _with(TOKENS, CLASS_LISTS, WEIGHTS, COSINES, GAUSSIAN_BUCKETS)
+    + _SAME_BUCKET,
     "kmeans_centroids": _kmeans((CLUSTERS,))
     + f" SELECT cl::INTEGER AS cluster_id, dim::INTEGER AS dim, round(v, 6) AS value FROM c{STEPS}",
     "kmeans_assign": _kmeans((CLUSTERS,))

@@ -23,7 +23,6 @@ from lodespark.plans import bindings
 from lodespark.staging import stage
 
 SUPPORT = 20
-MIN_COMMON = 2
 CLUSTERS = 4
 STEPS = 3
 TARGET_USER = 41
@@ -48,15 +47,15 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bindings.returns_graph(spark, sf_dir)
+    return bindings.parts_graph(spark, sf_dir)
 
 
 def mutual_neighbor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.mutual_counts(bindings.returns_graph(spark, sf_dir), MIN_COMMON)
+    return graph.candidate_totals(bindings.parts_graph(spark, sf_dir))
 
 
 def friend_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.recommend(bindings.returns_graph(spark, sf_dir), 10)
+    return graph.recommend(bindings.parts_graph(spark, sf_dir), 10)
 
 
 def frequent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +113,9 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lsh_amplification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = neardup.near_duplicates(bindings.documents(spark, sf_dir), coefficients=COEFFICIENTS)
+    pairs = neardup.near_duplicates(
+        bindings.documents(spark, sf_dir), coefficients=COEFFICIENTS, min_agreement=0.0
+    )
     chains = {name: amplify(F.col("jaccard"), steps) for name, steps in CHAINS.items()}
     columns = ["doc_a", "doc_b", "jaccard", *chains]
     return rounded(pairs.withColumns(chains).select(*columns), "jaccard", *chains)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodespark.functions.text import words
+from lodespark.functions.text import WHITESPACE, words
 
 RATINGS = "user_id long, item_id long, rating double, ts long"
 REQUESTS = "user_id long, item_id long, ts long"
@@ -14,13 +14,35 @@ LABELS = "user_id long, item_id long, label int, ts long"
 
 
 def _lines(spark: SparkSession, path: str, max_lines: int | None = None) -> DataFrame:
-    """``(line_id, value)`` with ids that rise with the position in the file."""
-    lines = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("line_id"), "value"
-    )
+    """``(line_id, value)`` with ids that rise with file name and position in the file."""
+    lines = in_file_order(spark.read.text(path))
     if max_lines is not None:
         lines = lines.orderBy("line_id").limit(max_lines)
-    return lines.where(F.trim(F.regexp_replace("value", r"\s", " ")) != "")
+    return not_blank(lines)
+
+
+def not_blank(lines: DataFrame) -> DataFrame:
+    """Lines (``value``) with more than white space."""
+    return lines.where(F.regexp_replace("value", f"[{WHITESPACE}]", "") != "")
+
+
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Add ``line_id`` to rows read from files; it follows file name and position.
+
+    Spark packs pieces of files into tasks by size, so the piece a row is from decides first. A
+    piece is a row in the numbering of the pieces.
+    """
+    piece = ("_file", "_start")
+    places = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place"),
+    )
+    order = Window.orderBy(*piece)
+    pieces = places.select(*piece).distinct().withColumn("_piece", F.row_number().over(order) - 1)
+    line_id = F.shiftleft(F.col("_piece").cast("long"), 33) + F.col("_place")
+    return places.join(pieces, list(piece)).select(line_id.alias("line_id"), *rows.columns)
 
 
 def _numbers(column: Column, kind: str) -> Column:
@@ -94,9 +116,8 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """``user,item,rating,ts`` with a ``line_id``, by which the last of repeated ratings is found."""
-    return (
-        spark.read.schema(RATINGS).option("mode", "FAILFAST").csv(path)
-        .withColumn("line_id", F.monotonically_increasing_id())
+    return in_file_order(_read_csv(spark, path, RATINGS)).select(
+        "user_id", "item_id", "rating", "ts", "line_id"
     )
 
 

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Temporary folder per local application, for sessions without a folder of their own.
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for staged tables: the cluster's own, or a temporary one in local mode."""
+    """Folder for staged tables, which every executor reaches.
+
+    That of ``spark.checkpoint.dir``; a session without one gets a folder of the
+    application in its warehouse, which executors share as well.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="lodespark-")
-    return _local_folders[application]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/staged-{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -42,3 +38,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def remove_staged(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged tables once the results that read them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

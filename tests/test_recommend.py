@@ -154,8 +154,10 @@ def test_last_rating_counts(spark):
 
 def test_unrated_and_top_n(spark):
     ratings = frame(spark, {(1, 1): 3.0, (1, 4): 2.0, (2, 2): 1.0})
-    left = recommend.unrated(ratings, 1, 1, 5)
-    assert sorted(r["item_id"] for r in left.collect()) == [2, 3, 5]
+    assert [r["item_id"] for r in recommend.unrated(ratings, 1).collect()] == [2]
+    assert recommend.unrated(ratings, 1, 3, 9).collect() == []
+    wide = frame(spark, {(1, 1): 3.0, (2, 0): 1.0, (2, 5000): 2.0, (2, 1): 4.0})
+    assert sorted(r["item_id"] for r in recommend.unrated(wide, 1).collect()) == [0, 5000]
     predicted = spark.createDataFrame(
         [(1, 9, 5.0), (1, 2, 5.0), (1, 3, 4.0)], "user_id long, item_id long, prediction double"
     )

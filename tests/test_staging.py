@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import pytest
-
 from lodespark import staging
 
 
@@ -12,8 +10,7 @@ class FakeConf:
         self.folder = folder
 
     def get(self, key, default=None):
-        assert key == "spark.checkpoint.dir"
-        return self.folder or default
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "file:/house/"}[key]
 
 
 class FakeContext:
@@ -30,10 +27,7 @@ class FakeSession:
 
 def test_folder_of_the_session_comes_first():
     assert staging.shared_folder(FakeSession("hdfs:///tables", "yarn")) == "hdfs:///tables"
-    local = FakeSession(None, "local[2]")
-    assert staging.shared_folder(local) == staging.shared_folder(local)
-    with pytest.raises(ValueError):
-        staging.shared_folder(FakeSession(None, "yarn"))
+    assert staging.shared_folder(FakeSession(None, "yarn")) == "file:/house/staged-app-yarn"
 
 
 def test_staged_table_holds_the_same_rows(spark):
@@ -42,3 +36,9 @@ def test_staged_table_holds_the_same_rows(spark):
     assert staged.dtypes == df.dtypes
     assert sorted(r["n"] for r in staged.collect()) == list(range(10))
     assert staging.stage(df.limit(0)).count() == 0
+
+
+def test_removed_folder_is_gone(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/kept/table")
+    staging.remove_staged(spark, f"{tmp_path}/kept")
+    assert not (tmp_path / "kept").exists()

@@ -243,6 +243,6 @@ def test_zero_vector_sets_every_bit(spark):
 
 def test_gaussian_components_look_normal(spark):
     terms = spark.range(4000).select(F.col("id").cast("string").alias("term"))
-    values = terms.select(*tfidf.gaussian_planes(F.col("term"), 2)).toPandas().to_numpy()
+    values = terms.select(*tfidf.gaussian_planes(tfidf.digest(F.col("term")), 2)).toPandas().to_numpy()
     assert abs(values.mean()) < 0.05 and abs(values.std() - 1) < 0.05
     assert abs(np.corrcoef(values.T)[0, 1]) < 0.05
