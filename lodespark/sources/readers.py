@@ -1,4 +1,8 @@
-"""Readers for the text and CSV inputs. Blank lines are skipped."""
+"""Readers for the text and CSV inputs. Blank lines are skipped.
+
+A ``read_`` function reads a file or folder, a ``parse_`` function rows of lines (``value``, where an
+id is needed also ``line_id``).
+"""
 
 from __future__ import annotations
 
@@ -16,9 +20,7 @@ LABELS = "user_id long, item_id long, label int, ts long"
 def _lines(spark: SparkSession, path: str, max_lines: int | None = None) -> DataFrame:
     """``(line_id, value)`` with ids that rise with file name and position in the file."""
     lines = in_file_order(spark.read.text(path))
-    if max_lines is not None:
-        lines = lines.orderBy("line_id").limit(max_lines)
-    return not_blank(lines)
+    return lines if max_lines is None else lines.orderBy("line_id").limit(max_lines)
 
 
 def not_blank(lines: DataFrame) -> DataFrame:
@@ -50,35 +52,43 @@ def _numbers(column: Column, kind: str) -> Column:
 
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
+    return parse_adjacency(_lines(spark, path))
+
+
+def parse_adjacency(lines: DataFrame) -> DataFrame:
     """``user<TAB>f1,f2,..`` as ``(user, friends)``; friends may be missing."""
     parts = F.split(F.trim("value"), "\t")
     listed = F.filter(F.split(F.get(parts, 1), ","), lambda part: F.trim(part) != "")
     friends = F.coalesce(listed.cast("array<long>"), F.array().cast("array<long>"))
-    return _lines(spark, path).select(
+    return not_blank(lines).select(
         F.trim(F.get(parts, 0)).cast("long").alias("user"),
         F.array_distinct(friends).alias("friends"),
     )
 
 
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
+    return parse_baskets(_lines(spark, path))
+
+
+def parse_baskets(lines: DataFrame) -> DataFrame:
     """Whitespace-separated items as ``(basket_id, items)`` without repeats."""
-    return _lines(spark, path).select(
+    return not_blank(lines).select(
         F.col("line_id").alias("basket_id"),
         F.sort_array(F.array_distinct(words(F.col("value")))).alias("items"),
     )
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """``id text`` as ``(doc_id, text)``: the id ends at the first space; ids are unique."""
+    return unique_ids(parse_articles(spark.read.text(path)))
+
+
+def parse_articles(lines: DataFrame) -> DataFrame:
+    """``id text`` as ``(doc_id, text)``: the id ends at the first space."""
     value = F.col("value")
     space = F.instr(value, " ")
-    return unique_ids(
-        spark.read.text(path)
-        .where(F.length("value") > 0)
-        .select(
-            F.when(space == 0, F.trim(value)).otherwise(F.substring_index(value, " ", 1)).alias("doc_id"),
-            F.when(space == 0, F.lit("")).otherwise(F.expr("substring(value, instr(value, ' ') + 1)")).alias("text"),
-        )
+    return lines.where(F.length("value") > 0).select(
+        F.when(space == 0, F.trim(value)).otherwise(F.substring_index(value, " ", 1)).alias("doc_id"),
+        F.when(space == 0, F.lit("")).otherwise(F.expr("substring(value, instr(value, ' ') + 1)")).alias("text"),
     )
 
 
@@ -92,49 +102,52 @@ def unique_ids(docs: DataFrame) -> DataFrame:
 
 
 def read_points(spark: SparkSession, path: str, max_lines: int | None = None) -> DataFrame:
-    """Whitespace-separated numbers as ``(point_id, coords)``.
+    """``max_lines`` keeps the first lines of the file; blank ones count but give no point."""
+    return parse_points(_lines(spark, path, max_lines))
 
-    ``max_lines`` keeps the first lines of the file; blank ones count but give no point.
-    """
-    return _lines(spark, path, max_lines).select(
+
+def parse_points(lines: DataFrame) -> DataFrame:
+    """Whitespace-separated numbers as ``(point_id, coords)``."""
+    return not_blank(lines).select(
         F.col("line_id").alias("point_id"), _numbers(F.col("value"), "double").alias("coords")
     )
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
-    """``id<TAB>v1 v2 ..`` as ``(cluster_id, center)`` in order of the id."""
+    """In order of the id."""
+    return parse_centroids(_lines(spark, path)).orderBy("cluster_id")
+
+
+def parse_centroids(lines: DataFrame) -> DataFrame:
+    """``id<TAB>v1 v2 ..`` as ``(cluster_id, center)``."""
     parts = F.split("value", "\t")
-    return (
-        _lines(spark, path)
-        .select(
-            F.trim(F.get(parts, 0)).cast("int").alias("cluster_id"),
-            _numbers(F.get(parts, 1), "double").alias("center"),
-        )
-        .orderBy("cluster_id")
+    return not_blank(lines).select(
+        F.trim(F.get(parts, 0)).cast("int").alias("cluster_id"),
+        _numbers(F.get(parts, 1), "double").alias("center"),
     )
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """``user,item,rating,ts`` with a ``line_id``, by which the last of repeated ratings is found."""
-    return in_file_order(_read_csv(spark, path, RATINGS)).select(
-        "user_id", "item_id", "rating", "ts", "line_id"
-    )
+    return parse_csv(_lines(spark, path), RATINGS, "line_id")
 
 
-def _read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
+def parse_csv(lines: DataFrame, schema: str, *kept: str) -> DataFrame:
+    """Comma-separated values (``value``) in the columns of ``schema``; a wrong one is an error."""
+    row = F.from_csv("value", schema, {"mode": "FAILFAST"})
+    return not_blank(lines).select(row.alias("row"), *kept).select("row.*", *kept)
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """``user,item,ts``."""
-    return _read_csv(spark, path, REQUESTS)
+    return parse_csv(spark.read.text(path), REQUESTS)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """``user,item,score,ts``."""
-    return _read_csv(spark, path, PREDICTIONS)
+    return parse_csv(spark.read.text(path), PREDICTIONS)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """``user,item,label,ts``."""
-    return _read_csv(spark, path, LABELS)
+    return parse_csv(spark.read.text(path), LABELS)

@@ -7,6 +7,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from lodespark.operators import recommend
 from lodespark.sources import readers, writers
 
 
@@ -58,6 +59,17 @@ def test_points(spark, tmp_path):
     assert [r["coords"] for r in some.collect()] == [[1.0, 2.5], [-3.0, 40.0]]
 
 
+def test_lines_of_several_files_follow_their_names(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "1,2,1.0,5\n")
+    write(tmp_path / "in" / "b.csv", "".join(f"{n},9,3.0,5\n" for n in range(2000)) + "1,2,4.0,5\n")
+    found = readers.read_ratings(spark, str(tmp_path / "in"))
+    (last,) = recommend.dedupe(found, ["ts", "line_id"]).where("user_id = 1 and item_id = 2").collect()
+    assert last["rating"] == 4.0
+    first = readers.read_points(spark, str(tmp_path / "in"), max_lines=1).count()
+    assert first == 1
+
+
 def test_ratings_and_requests(spark, tmp_path):
     path = write(tmp_path / "ratings.csv", "1,2,3.5,77\n1,2,4.0,60\n")
     found = rows(readers.read_ratings(spark, path).orderBy("line_id").drop("line_id"))
