@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from lodespark.functions.text import WHITESPACE
 from lodespark.operators.clustering import ELBOW
-from lodespark.operators.latent import ENSEMBLE_NEIGHBOURS
+from lodespark.operators.latent import ENSEMBLE_NEIGHBOURS, GRID_WEIGHTS, WEIGHTS as PART_WEIGHTS
 from lodespark.operators.neardup import BANDS, MIN_AGREEMENT, ROWS_PER_BAND
 from lodespark.operators.recommend import EPS, MIN_OVERLAP, NEIGHBOURS
 from lodespark.operators.sampling import IDS_PER_GROUP, MIN_USER_RATINGS
@@ -15,6 +15,7 @@ from lodespark.operators.tfidf import MAX_DISTANCE, PLANES
 from lodespark.plans.queries import (
     CLUSTERS,
     COEFFICIENTS,
+    DIGEST_RANKS,
     NEIGHBOURHOOD_WEIGHTS,
     SAMPLE,
     STEPS,
@@ -445,6 +446,34 @@ grid_scores AS (
   FROM sample JOIN components USING (user_id, item_id)
   CROSS JOIN (VALUES {_CELLS}) t(cell, wu, wi, wp))
 """
+DIGEST_FACTORS = f"""
+factors AS (
+  SELECT item_id, n,
+    ('0x' || substr(md5(item_id || ':' || n), 1, 8))::BIGINT / 21474836480.0::DOUBLE - 0.1 AS f
+  FROM item_means CROSS JOIN (SELECT unnest(range({max(DIGEST_RANKS)})) AS n)),
+user_factors AS (
+  SELECT user_id, n, sum(f) AS f FROM ratings JOIN factors USING (item_id) GROUP BY 1, 2),
+ranked_scores AS MATERIALIZED (
+  SELECT s.user_id, s.item_id, rank, {_sigmoid('sum(u.f * i.f)')} AS factor_score
+  FROM sample s JOIN user_factors u ON u.user_id = s.user_id
+  JOIN factors i ON i.item_id = s.item_id AND i.n = u.n
+  JOIN (SELECT unnest([{', '.join(map(str, DIGEST_RANKS))}]) AS rank) ON u.n < rank
+  GROUP BY 1, 2, 3)
+"""
+
+
+def _four_parts(weights: tuple[float, ...]) -> str:
+    parts = ("user_score", "item_score", "popularity_score", "factor_score")
+    total = " + ".join(f"{w} * {p}" for w, p in zip(weights, parts))
+    return f"greatest(0.0, least(1.0, {total}))"
+
+
+_DIGEST_CELLS = " UNION ALL ".join(
+    f"SELECT rank, {n} AS cell, label, round({_four_parts(w)}, 9) AS score"
+    " FROM sample JOIN components USING (user_id, item_id)"
+    " JOIN ranked_scores USING (user_id, item_id)"
+    for n, w in enumerate(GRID_WEIGHTS)
+)
 REQUESTS = "requests AS (SELECT user_id, item_id FROM sample)"
 _GRID_WITH = _with(RATINGS, VALIDATION, REQUESTS, *COMPONENTS, GRID_SCORES)
 
@@ -541,6 +570,30 @@ ORACLES: dict[str, str] = {
     "training_split": _with(RATINGS, VALIDATION)
     + """ SELECT user_id, item_id, rating, ts FROM ratings
     WHERE (user_id, item_id) NOT IN (SELECT (user_id, item_id) FROM positives)""",
+    "digest_factor_ensemble": _with(RATINGS, VALIDATION, REQUESTS, *COMPONENTS, DIGEST_FACTORS)
+    + f""" SELECT user_id, item_id, round({_four_parts(PART_WEIGHTS)}, 6) AS score, ts
+    FROM sample JOIN components USING (user_id, item_id) JOIN ranked_scores USING (user_id, item_id)
+    WHERE rank = {max(DIGEST_RANKS)}""",
+    "digest_factor_grid": _with(
+        RATINGS,
+        VALIDATION,
+        REQUESTS,
+        *COMPONENTS,
+        DIGEST_FACTORS,
+        f"digest_scores AS ({_DIGEST_CELLS})",
+    )
+    + _auc("digest_scores", "rank, cell, "),
+    "cold_start_scores": _with(RATINGS, VALIDATION, DIGEST_FACTORS)
+    + f""" SELECT a.user_id, a.item_id, round(coalesce(d.score, 1.0), 6) AS factor_score FROM (
+      SELECT user_id, item_id FROM sample UNION SELECT -1, item_id FROM sample
+      UNION SELECT user_id, -1 FROM sample) a
+    LEFT JOIN (SELECT s.user_id, s.item_id, {_sigmoid('sum(u.f * i.f)')} AS score
+      FROM sample s JOIN user_factors u ON u.user_id = s.user_id
+      JOIN factors i ON i.item_id = s.item_id AND i.n = u.n GROUP BY 1, 2) d
+    ON a.user_id = d.user_id AND a.item_id = d.item_id""",
+    "item_cooccurrence": _with(RATINGS)
+    + """ SELECT x.item_id AS item_a, y.item_id AS item_b, count(*) AS support
+    FROM ratings x JOIN ratings y ON x.user_id = y.user_id AND x.item_id < y.item_id GROUP BY 1, 2""",
     "ensemble_components": _with(RATINGS, VALIDATION, REQUESTS, *COMPONENTS)
     + """ SELECT user_id, item_id, round(user_score, 6) AS user_score,
     round(item_score, 6) AS item_score, round(popularity_score, 6) AS popularity_score

@@ -11,6 +11,7 @@ from lodespark.functions.text import amplify
 from lodespark.operators import (
     baskets,
     clustering,
+    cooccurrence,
     evaluate,
     graph,
     latent,
@@ -26,6 +27,7 @@ SUPPORT = 20
 CLUSTERS = 4
 STEPS = 3
 TARGET_USER = 41
+DIGEST_RANKS = (4, 8, 16)
 SAMPLE = 200
 # Hash functions shared with the SQL: drawn once below this bound, reduced modulo the prime.
 COEFFICIENTS = neardup.draw_coefficients(neardup.BANDS * neardup.ROWS_PER_BAND, 2**31 - 1)
@@ -256,7 +258,7 @@ def popularity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.validation_sample(bindings.ratings(spark, sf_dir), SAMPLE, SAMPLE)
+    return sampling.validation_sample(stage(bindings.ratings(spark, sf_dir)), SAMPLE, SAMPLE)
 
 
 def training_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +287,49 @@ def ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latent.ensemble(rows, sample), "score")
 
 
+def digest_factors(rows: DataFrame) -> DataFrame:
+    """Factors that SQL can repeat: numbers from a digest of item and position."""
+    numbers = [
+        F.conv(F.substring(F.md5(F.concat_ws(":", F.col("item_id"), F.lit(n))), 1, 8), 16, 10)
+        .cast("long") / 21474836480.0 - 0.1
+        for n in range(max(DIGEST_RANKS))
+    ]
+    return rows.select("item_id").distinct().select("item_id", F.array(*numbers).alias("factor"))
+
+
+def digest_factor_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, sample = _sampled(spark, sf_dir)
+    return rounded(latent.ensemble(rows, sample, factors=digest_factors(rows)), "score")
+
+
+def digest_factor_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, sample = _sampled(spark, sf_dir)
+    cells = latent.grid_search(rows, sample, DIGEST_RANKS, factors=digest_factors(rows))
+    return rounded(cells.select("rank", "cell", "auc"), "auc")
+
+
+def cold_start_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factor scores of sampled pairs, and of unknown users and items paired with known ones."""
+    rows, sample = _sampled(spark, sf_dir)
+    unknown = F.lit(-1).cast("long")
+    asked = (
+        sample.select("user_id", "item_id")
+        .union(sample.select(unknown, "item_id"))
+        .union(sample.select("user_id", unknown))
+    )
+    scores = latent.factor_scores(rows, asked, digest_factors(rows))
+    return rounded(scores, "factor_score")
+
+
+def item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users who rated both of two items: the matrix that the factors belong to."""
+    rows = bindings.ratings(spark, sf_dir).select(
+        F.col("user_id").alias("group_id"), F.col("item_id").alias("item"),
+        F.lit(1).cast("long").alias("weight"),
+    )
+    return cooccurrence.pair_counts(stage(rows), 1)
+
+
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.roc_auc(bindings.length_scores(spark, sf_dir)), "auc")
 
@@ -358,6 +403,10 @@ QUERIES: dict[str, Query] = {
         svd_scores,
         ensemble_components,
         ensemble_scores,
+        digest_factor_ensemble,
+        digest_factor_grid,
+        cold_start_scores,
+        item_cooccurrence,
         roc_auc,
         roc_curve,
         roc_curve_turns,

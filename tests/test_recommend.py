@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lodespark.functions import scoring
 from lodespark.operators import latent, recommend
+from lodespark.plans import bindings
+from lodespark.staging import stage
 
 
 def make_ratings(seed, users=25, items=18, share=0.6):
@@ -205,6 +207,29 @@ def test_factor_scores(spark, small_catalogue):
             assert found[u, i] == pytest.approx(1 / (1 + math.exp(-dot)), abs=1e-6)
 
 
+@pytest.mark.parametrize("rank", [16, 64])
+def test_large_catalogues_have_the_same_scores(spark, rank):
+    ratings = stage(bindings.ratings(spark, "/root/testdata/sf0.01").select("user_id", "item_id"))
+    asked = ratings.where("pmod(user_id * 7 + item_id, 400) = 0")
+    cells = ratings.toPandas()
+    users, items = np.unique(cells["user_id"]), np.unique(cells["item_id"])
+    seen = np.zeros((len(users), len(items)))
+    seen[np.searchsorted(users, cells["user_id"]), np.searchsorted(items, cells["item_id"])] = 1
+    v = np.linalg.svd(seen, full_matrices=False)[2][:rank].T
+    factors = latent.item_factors(ratings, rank, small_catalogue=1)
+    rows = latent.factor_scores(ratings, asked, factors).collect()
+    assert len(rows) > 50
+    for row in rows:
+        dot = seen[np.searchsorted(users, row["user_id"])] @ v @ v[np.searchsorted(items, row["item_id"])]
+        assert row["factor_score"] == pytest.approx(1 / (1 + math.exp(-dot)), abs=1e-6)
+
+
+def test_unreached_tolerance_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(latent, "MOST_BLOCKS", 1)
+    with pytest.raises(ValueError, match="residual"):
+        latent.item_factors(frame(spark, make_ratings(8, users=40, items=30)), 2, small_catalogue=1)
+
+
 def test_rank_is_lowered(spark):
     factors = latent.item_factors(frame(spark, make_ratings(2, users=6, items=4)), 64)
     assert {len(r["factor"]) for r in factors.collect()} == {3}
