@@ -35,8 +35,9 @@ WORDS = -(-BANDS * ROWS_PER_BAND // 32)  # of a signature
 MOST_DIFFERENT = 61
 # Rounds in which each class is compared with one other of its bands before all others are.
 STAR_ROUNDS = 2
-# Members of a band that are joined together; larger bands are joined chunk by chunk.
-CHUNK = 512
+# Classes of a band whose pairs are joined; those of a larger band are compared in blocks of two
+# chunks of about so many classes.
+LARGE_BAND, CHUNK = 64, 512
 # Members that are compared with one copy of a hot class.
 SALT = 500
 # Ids that are broadcast, in 8 bytes each, to pick texts without a shuffle; more are joined.
@@ -166,14 +167,10 @@ def _alike(left: str, right: str, percent: int) -> Column:
     return (different <= MOST_DIFFERENT) & (small * 100 >= large * percent)
 
 
-def verified(
-    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """Pairs (a, b) with 100 * shared >= percent * united shingles, compared on whole sets.
+def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, codes)``: the shingles of the wanted classes.
 
-    ``nodes`` (doc_id, code) says which text stands for an id, should several do. The set of
-    ``a`` meets those of its partners in sorted order within a partition; a class with many
-    partners is copied to several partitions.
+    ``nodes`` (doc_id, code) says which text stands for an id, should several do.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,10 +184,42 @@ def verified(
                     {"doc_id": batch["doc_id"].slice(first, len(group)), "codes": _binary(sets)}
                 ).filter(pa.array(own))
 
+    return (
+        texts.join(nodes, "doc_id")
+        .join(wanted, "doc_id", "left_semi")
+        .select("doc_id", "text", "code")
+        .mapInArrow(encoded, "doc_id long, codes binary")
+    )
+
+
+def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sets share enough of their union."""
+    at = np.searchsorted(left, right)
+    at[at == len(left)] = 0
+    shared = int((left[at] == right).sum())
+    return 100 * shared >= percent * (len(left) + len(right) - shared)
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    left, right = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_pydict(
+        {"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())}
+    )
+
+
+def verified(
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Pairs (a, b) with 100 * shared >= percent * united shingles, compared on whole sets.
+
+    The set of ``a`` meets those of its partners in sorted order within a partition; a class with
+    many partners is copied to several partitions.
+    """
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, np.empty(0, np.uint64)
         for batch in batches:
-            found: tuple[list[int], list[int]] = ([], [])
+            found = []
             for a, b, codes in zip(*(batch[c].to_pylist() for c in ("a", "b", "codes"))):
                 other = np.frombuffer(codes, np.uint64)
                 if b is None:
@@ -198,15 +227,9 @@ def verified(
                     continue
                 if key != a:
                     raise ValueError(f"the set of document {a} is missing")
-                at = np.searchsorted(own, other)
-                at[at == len(own)] = 0
-                shared = int((own[at] == other).sum())
-                if 100 * shared >= percent * (len(own) + len(other) - shared):
-                    found[0].append(a)
-                    found[1].append(b)
-            yield pa.RecordBatch.from_pydict(
-                {"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())}
-            )
+                if _linked(own, other, percent):
+                    found.append((a, b))
+            yield _edges(found)
 
     counts = stage(
         pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT).cast("int").alias("copies"))
@@ -215,12 +238,7 @@ def verified(
         "salt", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")
     )
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = (
-        texts.join(nodes, "doc_id")
-        .join(wanted, "doc_id", "left_semi")
-        .select("doc_id", "text", "code")
-        .mapInArrow(encoded, "doc_id long, codes binary")
-    )
+    sets = _sets(texts, nodes, wanted, width)
     own = (
         sets.join(counts, F.col("doc_id") == F.col("a"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
@@ -264,33 +282,85 @@ def _star_pairs(members: DataFrame, sharing: DataFrame, turn: int, percent: int)
 
 
 def _cross_pairs(members: DataFrame, sharing: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs of classes that share a band and lie in different components.
+    """Likely pairs of classes that share a small band and lie in different components.
 
-    A pair is taken in the first band that it shares. A band is dealt into chunks, and each
-    two of them meet in a task.
+    A pair is taken in the first band that it shares.
     """
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    dealt = (
-        members.join(sizes, "band")
-        .join(sharing.select("doc_id", "n_shingles", "signature", "bands"), "doc_id")
-        .select("*", chunk.alias("chunk"), F.array_position("bands", F.col("band")).alias("number"))
-    )
-    left = dealt.withColumnsRenamed({"chunk": "i"}).withColumn(
-        "j", F.explode(F.sequence(F.col("i"), F.col("chunks") - 1))
-    )
-    right = dealt.withColumnsRenamed({"chunk": "j"}).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.col("j")))
-    )
+    dealt = members.join(
+        sharing.select("doc_id", "n_shingles", "signature", "bands"), "doc_id"
+    ).withColumn("number", F.array_position("bands", F.col("band")))
     equal = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
-    meet = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("band", "i", "j")]
-    other = F.expr("x.component != y.component and (x.i < x.j or x.doc_id < y.doc_id)")
     first = F.array_position(equal, True) == F.col("x.number")
-    joined = left.alias("x").join(
-        right.alias("y"), [*meet, other, _alike("x", "y", percent), first]
+    other = F.expr("x.band = y.band and x.component != y.component and x.doc_id < y.doc_id")
+    joined = dealt.alias("x").join(dealt.alias("y"), [other, _alike("x", "y", percent), first])
+    return joined.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+
+
+def _block_pairs(
+    members: DataFrame, sharing: DataFrame, texts: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Likely pairs of classes that share a large band and lie in different components.
+
+    ``members`` has ``size``, the number of classes of the band. A band is dealt into chunks, and each
+    two of them form a block, whose classes meet in a task. There their sets are compared as
+    shorter codes, so that hardly a pair leaves the task that is not a link.
+    """
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [np.frombuffer(c, np.uint64) >> np.uint64(32) for c in batch["codes"].to_pylist()]
+            short = [np.unique(c.astype(np.uint32)).tobytes() for c in codes]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "codes": _binary(short)})
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (place := (row["band"], row["low"], row["high"])) != key:
+                    yield _edges(likely(key, rows))
+                    key, rows = place, []
+                rows.append(row)
+        yield _edges(likely(key, rows))
+
+    def likely(key: tuple | None, rows: list[dict]) -> list[tuple[int, int]]:
+        left, right = ([r for r in rows if r["chunk"] == c] for c in (key or (0, 0, 0))[1:])
+        if not left or not right:
+            return []
+        names = ("doc_id", "component", "n_shingles", "signature")
+        x, y = ({n: np.array([r[n] for r in side]) for n in names} for side in (left, right))
+        pairs = x["component"][:, None] != y["component"]
+        if key[1] == key[2]:
+            pairs &= x["doc_id"][:, None] < y["doc_id"]
+        small, large = (f(x["n_shingles"][:, None], y["n_shingles"]) for f in (np.minimum, np.maximum))
+        pairs &= small * 100 >= large * percent
+        bits = x["signature"][:, None, :] ^ y["signature"]
+        bits = (bits | bits >> 1) & 0x5555555555555555
+        pairs &= np.bitwise_count(bits).sum(axis=2) <= MOST_DIFFERENT
+        sets = [[np.frombuffer(r["codes"], np.uint32) for r in side] for side in (left, right)]
+        return [
+            (min(a, b), max(a, b))
+            for i, j in np.argwhere(pairs).tolist()
+            if _linked(sets[0][i], sets[1][j], percent - 1)  # equal short codes may move a per cent
+            for a, b in [(left[i]["doc_id"], right[j]["doc_id"])]
+        ]
+
+    wanted = members.select("doc_id").distinct()
+    sets = _sets(texts, sharing.select("doc_id", "code"), wanted, width)
+    sets = stage(sets.mapInArrow(shortened, "doc_id long, codes binary"))
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    dealt = (
+        members.join(sharing.select("doc_id", "n_shingles", "signature"), "doc_id")
+        .join(sets, "doc_id")
+        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
     )
-    return joined.select(
-        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
+    kept = ("band", "low", "high", "chunk", "doc_id", "component", "n_shingles", "signature", "codes")
+    return (
+        dealt.select(*kept)
+        .repartition(partitions(texts), "band", "low", "high")
+        .sortWithinPartitions("band", "low", "high")
+        .mapInArrow(blocks, "a long, b long")
     )
 
 
@@ -344,20 +414,27 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     edges = components = None
     members = stage(_open_bands(shared, None))
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = (
-            _star_pairs(members, sharing, turn, percent)
-            if turn < STAR_ROUNDS
-            else _cross_pairs(members, sharing, percent)
-        )
-        likely = stage(pairs)
-        if likely.isEmpty():
-            continue
-        found = verified(likely, sharing.select("doc_id", "code"), texts, width, percent)
+    codes = sharing.select("doc_id", "code")
+
+    def linked(found: DataFrame) -> None:
+        nonlocal edges, components
         edges = stage(found.toDF("u", "v") if edges is None else edges.union(found))
         components = stage(connected_components(edges))
-        if turn < STAR_ROUNDS:
+
+    for turn in range(STAR_ROUNDS):
+        likely = stage(_star_pairs(members, sharing, turn, percent))
+        if not likely.isEmpty():
+            linked(verified(likely, codes, texts, width, percent))
             members = stage(_open_bands(shared, components))
+    sizes = members.groupBy("band").agg(F.count("*").alias("size"))
+    members = stage(members.join(sizes, "band"))
+    small, large = members.where(F.col("size") <= LARGE_BAND), members.where(F.col("size") > LARGE_BAND)
+    likely = _cross_pairs(small, sharing, percent)
+    if not large.isEmpty():
+        likely = likely.union(_block_pairs(large, sharing, texts, width, percent)).distinct()
+    likely = stage(likely)
+    if not likely.isEmpty():
+        linked(verified(likely, codes, texts, width, percent))
 
     reached = classes.join(
         components.withColumnRenamed("node", "doc_id"), "doc_id", "left"

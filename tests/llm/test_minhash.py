@@ -67,6 +67,7 @@ def corpus():
 def test_links_every_pair(frame, corpus, monkeypatch, width, rounds):
     monkeypatch.setattr(minhash, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(minhash, "CHUNK", 4)
+    monkeypatch.setattr(minhash, "LARGE_BAND", 8 if width == 2 else 1000)
     monkeypatch.setattr(minhash, "SALT", 3)
     monkeypatch.setattr(minhash, "SENT_IDS", 0 if rounds else 1000)
     docs = frame([(*r, 1) for r in corpus], "doc_id long, text string, kept int")

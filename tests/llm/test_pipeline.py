@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import hashlib
+from collections import defaultdict
+
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lodespark.llm import queries
 from lodespark.staging import stage
+from tests.llm import test_decontaminate, test_minhash, test_mixing, test_tokenfile
 
 SF_DIR = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -62,10 +67,44 @@ def test_odd_documents(spark, frame, number):
         assert len(ids) == len(rows)
 
 
-def test_run_gives_the_last_stage(spark):
-    result = corpus_pipeline.run(spark, SF_DIR)
-    rows = sorted(result.collect(), key=lambda r: r["start"])
-    assert rows and rows[0]["start"] == 0
-    for before, after in zip(rows, rows[1:]):
-        assert after["start"] == before["start"] + before["n_tokens"]
-        assert after["doc_id"] >= before["doc_id"]
+def mixed(rows):
+    """Copies that the mix takes, given (doc_id, text, source)."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.encode().split())
+    found = {}
+    for source, target in test_mixing.wanted(sizes).items():
+        rounds = int(target // sizes[source]) if sizes[source] else 0
+        budget, end = target - rounds * sizes[source], 0
+        own = []
+        for doc_id, text, of in rows:
+            name = f"{doc_id}:{hashlib.md5(text.encode()).hexdigest()}"
+            ticket = int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
+            own += [(ticket, doc_id, len(text.encode().split()))] if of == source else []
+        over = False
+        for _, doc_id, size in sorted(own):
+            end += size
+            nearer = end <= budget or end - budget < budget - end + size
+            found[doc_id] = rounds + (not over and nearer)
+            over = over or end > budget
+    return found
+
+
+def test_run_like_brute_force(spark, documents):
+    """The model's verdicts are taken from its query; all other stages are restated."""
+    good = {r["doc_id"] for r in queries.op7_quality_rules(spark, SF_DIR).where("kept").collect()}
+    rows = [(d["doc_id"], d["text"], d["source"]) for d in documents.collect() if d["doc_id"] in good]
+    single = test_minhash.brute_force([r[:2] for r in rows], 5, 80)
+    kept = {doc_id for doc_id, _, _, first in single if first}
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    clean = []
+    for doc_id, text, source in rows:
+        n_words, hit, _ = test_decontaminate.brute_force(text, items, 13)
+        if doc_id in kept and not (hit and 20 * len(hit) >= n_words):
+            clean.append((doc_id, text, source))
+    copies = mixed(clean)
+    taken = [(doc_id, text) for doc_id, text, _ in clean for _ in range(copies[doc_id])]
+    tokenizer = Tokenizer.from_str(test_tokenfile.DEFINITION)
+    result = sorted((tuple(r)[:4] for r in corpus_pipeline.run(spark, SF_DIR).collect()), key=lambda r: r[1])
+    assert len(clean) < len(kept) < len(rows) and len(taken) != len(clean)
+    assert result == test_tokenfile.expected(taken, tokenizer)
