@@ -56,7 +56,7 @@ def _totals(points: DataFrame, models: dict[int, np.ndarray]) -> DataFrame:
                 distances = _distances(block, centers)
                 nearest = distances.argmin(axis=1)
                 chosen = np.column_stack([distances.min(axis=1), block])
-                np.add.at(sums[k], nearest, chosen)
+                sums[k] += (nearest[:, None] == np.arange(k)).T.astype(float) @ chosen
                 counts[k] += np.bincount(nearest, minlength=k)
         for k in models:
             yield pa.RecordBatch.from_pydict(

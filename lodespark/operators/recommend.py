@@ -13,6 +13,8 @@ MIN_OVERLAP = 5
 NEIGHBOURS = 10
 # Rows (of three numbers) up to which the left side is sent to every task.
 SMALL_SIDE = 1_000_000
+# Rows that one key may have on such a left side: each row on the right makes as many pairs.
+SMALL_KEY = 1000
 # Rows up to which all of one member are brought into one task.
 LARGE_MEMBER = 1_000_000
 # A key is joined in chunks when it gives more than this many pairs of rows.
@@ -62,6 +64,7 @@ def similarity(
     small_side: int = SMALL_SIDE,
     large_member: int = LARGE_MEMBER,
     large_key_pairs: int = LARGE_KEY_PAIRS,
+    small_key: int = SMALL_KEY,
 ) -> DataFrame:
     """Cosine similarity on common keys between members of two sets of rows.
 
@@ -69,13 +72,14 @@ def similarity(
     over the common keys only. Returns ``(left_id, right_id, overlap, similarity)`` for
     different members with at least ``min_overlap`` common keys.
 
-    The rows on the left are counted. If they are few they are broadcast; otherwise both
-    sides are joined by key.
+    The rows on the left are counted. If they are few, also per key, they are broadcast; otherwise
+    both sides are joined by key.
     """
     left = stage(left)
     a = left.select(F.col("member").alias("left_id"), "key", F.col("value").alias("x"))
     b = right.select(F.col("member").alias("right_id"), "key", F.col("value").alias("y"))
-    if left.count() <= small_side:
+    crowd = left.groupBy("key").count().agg(F.sum("count"), F.max("count")).first()
+    if (crowd[0] or 0) <= small_side and (crowd[1] or 0) <= small_key:
         sums = _sums_with_small_left(a, b, large_member)
     else:
         sums = _sums_by_key(a, b, min_overlap, large_key_pairs)

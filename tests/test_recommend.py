@@ -134,6 +134,7 @@ def test_large_keys_give_the_same_similarity(spark, least):
     for limits in (
         {},
         {"large_member": 8},
+        {"small_key": 1},
         {"small_side": 0},
         {"small_side": 0, "large_key_pairs": 20},
     ):
