@@ -195,9 +195,7 @@ def marked(records: DataFrame) -> DataFrame:
             ("learnt_end", pa.int32()),
         ]
     )
-    rows = records.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "record"
-    )
+    rows = records.select(*(F.col(c).cast("long").alias(c) for c in ("conv_id", "turn")), "record")
     return spread(rows).mapInArrow(
         turns,
         "conv_id long, turn long, position int, mapping string, segment string,"
@@ -216,17 +214,18 @@ def digests(segments: DataFrame) -> DataFrame:
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told, learnt = [], []
+            told, learnt, chars = [], [], []
             for segment, low, high in zip(
                 *(batch[c].to_pylist() for c in ("segment", "learnt_start", "learnt_end"))
             ):
                 ((role, text),) = read_back(segment)
                 told.append(f"{role}\n{text}\n")
                 learnt.append(None if low is None else unescape(segment[low:high]))
+                chars.append(len(segment))
             kept = batch.select(["conv_id", "turn", "position"])
+            added = (pa.array(told, pa.string()), pa.array(learnt, pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(told), pa.array(learnt, pa.string()),
-                 pa.array([len(s) for s in batch["segment"].to_pylist()], pa.int64())],
+                [*kept.columns, *added, pa.array(chars, pa.int64())],
                 names=["conv_id", "turn", "position", "told", "learnt", "chars"],
             )
 

@@ -34,7 +34,7 @@ WORDS = -(-BANDS * ROWS_PER_BAND // 32)  # of a signature
 # not verified on their sets.
 MOST_DIFFERENT = 61
 # Rounds in which each class is compared with one other of its bands before all others are.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 # Classes of a band whose pairs are joined; those of a larger band are compared in blocks of two
 # chunks of about so many classes.
 LARGE_BAND, CHUNK = 64, 512
