@@ -251,33 +251,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # At most ``sample`` rows of four numbers are broadcast.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = joined.select(*order, F.coalesce("text", F.lit("")).alias("text")).collect()
-    rows.sort(key=lambda r: (r["code"], r["quality"], r["toxic"], r["text"]))
+    rows = sorted(tuple(r)[:3] + (r["text"].encode(),) for r in rows)
+    held = np.array([code % CALIBRATION == 0 for code, *_ in rows], bool)
     ids = WordIds()
-    whole, worst, held = [], [], []
-    for row in rows:
-        text = row["text"].encode()
-        words = text.split()
-        codes = ids.codes(words)
-        whole.append(features(codes, text))
-        worst.append(Stretches.of(codes, words))
-        held.append(row["code"] % CALIBRATION == 0)
-    held = np.array(held, bool)
+
+    def described(describe) -> list:
+        """Features of every text; those of one head at a time are held."""
+        words = (text.split() for *_, text in rows)
+        return [describe(ids.codes(w), w, text) for w, (*_, text) in zip(words, rows)]
+
     model = Model(np.zeros(2 * SIZE, np.float32), np.zeros(2 * SIZE, np.float32))
     bias, slope, shift = list(model.bias), list(model.slope), list(model.shift)
-    for head, column in enumerate(("quality", "toxic")):
-        wanted = np.array([float(r[column] > 0) for r in rows])
+    for head in (0, 1):  # quality, toxic
+        wanted = np.array([float(r[1 + head] > 0) for r in rows])
         if any(len(set(wanted[fold])) < 2 for fold in (held, ~held)):
             continue
         if head:
+            worst = described(lambda codes, words, _: Stretches.of(codes, words))
             steps = _fit_worst([w for w, h in zip(worst, held) if not h], wanted[~held])
             model.toxic = steps.weights.astype(np.float32)
             sums = [w.sums(model.toxic) for w, h in zip(worst, held) if h]
             logits = np.array([s.max() if len(s) else 0.0 for s in sums]) + steps.bias
         else:
+            whole = described(lambda codes, _, text: features(codes, text))
             steps = _fit_whole([w for w, h in zip(whole, held) if not h], wanted[~held])
             model.good = steps.weights.astype(np.float32)
             logits = np.array([model.good[b] @ v for (b, v), h in zip(whole, held) if h])
             logits += steps.bias
+            del whole
         bias[head] = steps.bias
         slope[head], shift[head] = _calibrated(logits, wanted[held])
     model.bias, model.slope, model.shift = tuple(bias), tuple(slope), tuple(shift)
