@@ -35,11 +35,11 @@ CHARACTERS = 8.0
 WHOLE_WIDTH, STRETCH_WIDTH, STRETCH = 4, 6, 16
 BATCH = 128
 WHOLE_EPOCHS, WHOLE_RATE = 12, 0.3
-WORST_EPOCHS, WORST_RATE = 8, 0.05
+WORST_EPOCHS, WORST_RATE = 12, 0.1
 # Buckets are weighed for stretches if their log-odds are so many deviations from none: the few
 # marked texts would else be learnt by heart. Counts are smoothed, and the log-odds are
 # scaled down as the start of training.
-DEVIATIONS, SMOOTHING, START = 5.0, 2.0, 0.3
+DEVIATIONS, SMOOTHING, START = 4.0, 2.0, 0.3
 # Thresholds: a text is kept if it is at least so likely good and at most so likely toxic.
 GOOD, TOXIC = 0.5, 0.5
 # Base rule.

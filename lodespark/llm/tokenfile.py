@@ -93,7 +93,9 @@ class Encoder:
             return self.line_end.join(lines)
         except TypeError:  # a None: white space that touches other white space
             first, *words = CUT.split(text)
-            return self.whole(first) + b"".join(map(find, words))
+            found = map(find, words)  # only the last word can end in white space
+            pieces = (self.whole(" " + w) if ids is None else ids for w, ids in zip(words, found))
+            return self.whole(first) + b"".join(pieces)
 
 
 class Memo(dict):
