@@ -302,8 +302,9 @@ def _block_pairs(
     """Likely pairs of classes that share a large band and lie in different components.
 
     ``members`` has ``size``, the number of classes of the band. A band is dealt into chunks, and each
-    two of them form a block, whose classes meet in a task. There their sets are compared as
-    shorter codes, so that hardly a pair leaves the task that is not a link.
+    two of them form a block, whose classes meet in a task. There their sets are compared as 32-bit
+    codes, of which so few coincide that they move a similarity by less than a per cent: hardly a
+    pair leaves the task that is not a link, and of two components only one sure link does.
     """
 
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,14 +336,20 @@ def _block_pairs(
         pairs &= small * 100 >= large * percent
         bits = x["signature"][:, None, :] ^ y["signature"]
         bits = (bits | bits >> 1) & 0x5555555555555555
-        pairs &= np.bitwise_count(bits).sum(axis=2) <= MOST_DIFFERENT
+        different = np.bitwise_count(bits).sum(axis=2)
+        at = np.argwhere(pairs & (different <= MOST_DIFFERENT))
+        at = at[np.argsort(different[at[:, 0], at[:, 1]], kind="stable")]
         sets = [[np.frombuffer(r["codes"], np.uint32) for r in side] for side in (left, right)]
-        return [
-            (min(a, b), max(a, b))
-            for i, j in np.argwhere(pairs).tolist()
-            if _linked(sets[0][i], sets[1][j], percent - 1)  # equal short codes may move a per cent
-            for a, b in [(left[i]["doc_id"], right[j]["doc_id"])]
-        ]
+        found, joined = [], set()
+        for i, j in at.tolist():  # the most alike first: a sure link joins two components
+            both = frozenset((left[i]["component"], right[j]["component"]))
+            if both in joined or not _linked(sets[0][i], sets[1][j], percent - 1):
+                continue
+            if _linked(sets[0][i], sets[1][j], percent + 1):
+                joined.add(both)
+            a, b = left[i]["doc_id"], right[j]["doc_id"]
+            found.append((min(a, b), max(a, b)))
+        return found
 
     wanted = members.select("doc_id").distinct()
     sets = _sets(texts, sharing.select("doc_id", "code"), wanted, width)
