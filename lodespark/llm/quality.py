@@ -2,8 +2,8 @@
 
 The model has two heads, trained on a bounded sample of the labelled rows and calibrated on rows left
 out of training. The one for good quality weighs the whole text; the one for toxic language
-weighs stretches of it and goes by the worst, as a few words may be all there is. Texts are
-scored in Arrow batches against fixed thresholds.
+weighs the stretch from each word on and goes by the worst, as a few words may be all there is; it
+is fitted once more on all rows after calibration, as marked texts are few. Texts are in Arrow batches against fixed thresholds.
 
 Defined cases: a null text has no words and fails the base rule; labels of unknown documents, and null
 labels, are left out; a head whose sample has one class only passes every text; a row of the labels that
@@ -32,14 +32,14 @@ SIZE = 1 << BITS
 # Weight of the character block: its values are shares of many n-grams and so rather small.
 CHARACTERS = 8.0
 # Bytes of a character n-gram of the whole text and of a stretch, and words of a stretch.
-WHOLE_WIDTH, STRETCH_WIDTH, STRETCH = 4, 6, 16
+WHOLE_WIDTH, STRETCH_WIDTH, STRETCH = 4, 6, 8
 BATCH = 128
 WHOLE_EPOCHS, WHOLE_RATE = 12, 0.3
 WORST_EPOCHS, WORST_RATE = 12, 0.1
 # Buckets are weighed for stretches if their log-odds are so many deviations from none: the few
 # marked texts would else be learnt by heart. Counts are smoothed, and the log-odds are
 # scaled down as the start of training.
-DEVIATIONS, SMOOTHING, START = 4.0, 2.0, 0.3
+DEVIATIONS, SMOOTHING, START = 3.0, 2.0, 0.3
 # Thresholds: a text is kept if it is at least so likely good and at most so likely toxic.
 GOOD, TOXIC = 0.5, 0.5
 # Base rule.
@@ -83,41 +83,46 @@ def features(codes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def _running(values: np.ndarray) -> np.ndarray:
+    """Sums of the values before each place, and of all."""
+    return np.concatenate([np.zeros(1), np.cumsum(values, dtype=np.float64)])
+
+
 @dataclass
 class Stretches:
-    """Buckets of the words and characters of a text, and where its stretches start in both."""
+    """Buckets of the words and characters of a text, and where its words start in the latter.
+
+    A stretch starts at every word that has enough words after it, so that what it weighs does not
+    depend on where in the text a phrase begins; a shorter text is one stretch.
+    """
 
     words: np.ndarray
     characters: np.ndarray
-    word_starts: np.ndarray
-    character_starts: np.ndarray
+    places: np.ndarray
 
     @classmethod
     def of(cls, codes: np.ndarray, words: list[bytes]) -> Stretches:
-        starts = np.arange(0, len(words), STRETCH)
-        places = np.cumsum([0, *(len(w) + 1 for w in words)])
+        sizes = np.fromiter(map(len, words), np.int32, len(words))
         return cls(
             ((codes * _PAIR) >> np.uint64(64 - BITS)).astype(np.int32),
             _characters(b" ".join(words), STRETCH_WIDTH),
-            starts,
-            places[starts],
+            np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes + 1, dtype=np.int32)]),
         )
 
     def sums(self, weights: np.ndarray) -> np.ndarray:
         """Weight of each stretch; none for a text without words."""
         if not len(self.words):
             return np.zeros(0)
-        characters = np.add.reduceat(weights[SIZE:][self.characters], self.character_starts)
-        return np.add.reduceat(weights[:SIZE][self.words], self.word_starts) + characters
+        by_word = _running(weights[:SIZE][self.words])
+        by_word += _running(weights[SIZE:][self.characters])[self.places]
+        length = min(STRETCH, len(self.words))
+        return by_word[length:] - by_word[:-length]
 
     def slopes(self, worst: int, out: np.ndarray, by: float) -> None:
         """Add to ``out`` how the weight of one stretch depends on the weights."""
-        for buckets, starts, base in (
-            (self.words, self.word_starts, 0),
-            (self.characters, self.character_starts, SIZE),
-        ):
-            stop = starts[worst + 1] if worst + 1 < len(starts) else len(buckets)
-            np.add.at(out, base + buckets[starts[worst] : stop], by)
+        stop = min(worst + STRETCH, len(self.words))
+        np.add.at(out, self.words[worst:stop], by)
+        np.add.at(out, SIZE + self.characters[self.places[worst] : self.places[stop]], by)
 
     def present(self) -> np.ndarray:
         return np.unique(np.concatenate([self.words, self.characters + SIZE]))
@@ -251,7 +256,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # At most ``sample`` rows of four numbers are broadcast.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = joined.select(*order, F.coalesce("text", F.lit("")).alias("text")).collect()
-    rows = sorted(tuple(r)[:3] + (r["text"].encode(),) for r in rows)
+    return fitted(sorted(tuple(r)[:3] + (r["text"].encode(),) for r in rows))
+
+
+def fitted(rows: list[tuple[int, int, int, bytes]]) -> Model:
+    """Both heads of rows (code, quality, toxic, text); a share by the code is for calibration."""
     held = np.array([code % CALIBRATION == 0 for code, *_ in rows], bool)
     ids = WordIds()
 
@@ -269,9 +278,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         if head:
             worst = described(lambda codes, words, _: Stretches.of(codes, words))
             steps = _fit_worst([w for w, h in zip(worst, held) if not h], wanted[~held])
-            model.toxic = steps.weights.astype(np.float32)
-            sums = [w.sums(model.toxic) for w, h in zip(worst, held) if h]
+            sums = [w.sums(steps.weights) for w, h in zip(worst, held) if h]
             logits = np.array([s.max() if len(s) else 0.0 for s in sums]) + steps.bias
+            steps = _fit_worst(worst, wanted)
+            model.toxic = steps.weights.astype(np.float32)
         else:
             whole = described(lambda codes, _, text: features(codes, text))
             steps = _fit_whole([w for w, h in zip(whole, held) if not h], wanted[~held])

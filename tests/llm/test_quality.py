@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from lodespark.llm import quality
+from lodespark.llm.words import WordIds
 from tests.llm.conftest import ODD_TEXTS
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -45,12 +46,26 @@ def test_held_out_accuracy(tables, model):
     toxic = np.array([r["toxic"] for r in rows])
     p_good, p_toxic = (np.array([r[c] for r in rows]) for c in ("p_good", "p_toxic"))
     assert ((p_good >= quality.GOOD) == (good > 0)).mean() > 0.98
-    # The sample has some 270 toxic texts in four languages; with more it finds nearly all.
-    assert (p_toxic[toxic > 0] > quality.TOXIC).mean() > 0.75
+    # The labels here have some 360 toxic texts to learn from, most of them in one of four languages.
+    assert (p_toxic[toxic > 0] > quality.TOXIC).mean() > 0.85
     assert (p_toxic[toxic == 0] > quality.TOXIC).mean() < 0.02
     assert np.mean((p_good - good) ** 2) < 0.02  # calibrated
 
 
+def test_worst_stretch_wherever_it_begins():
+    ids = WordIds()
+    bad = [b"bad%d" % n for n in range(4)]
+    weights = np.zeros(2 * quality.SIZE, np.float32)
+    weights[(ids.codes(bad) * quality._PAIR) >> np.uint64(64 - quality.BITS)] = 1
+    model = quality.Model(np.zeros_like(weights), weights)
+    for size in (5, 40):
+        for before in range(size - 3):
+            words = [b"w"] * size
+            words[before : before + 4] = bad
+            _, toxic = model.logits(ids.codes(words), words, b" ".join(words))
+            assert toxic - model.bias[1] == pytest.approx(4), (size, before)
+
+
 def test_base_counts(frame, model):
     texts = [*ODD_TEXTS, "a b c a b c\na b c a b c\n\n a", "<#> x | y\n" * 30, "é " * 60]
     docs = frame([(n, t, "x") for n, t in enumerate(texts)], "doc_id long, text string, other string")
