@@ -3,8 +3,9 @@
 Each line and each paragraph of a text is compared with templates of notices by the cosine of sparse
 vectors, whose terms weigh their inverse document frequency over the templates. Terms in no
 template only lengthen a vector, so a passage is left out as soon as its other terms alone keep the
-cosine below the threshold; the rest are joined with the templates term by term. A file without a
-notice inherits from the licence file in the nearest directory above.
+cosine below the threshold; the rest are joined with the templates term by term. A file in which
+that finds nothing is searched for an SPDX line, then for the usual headers and heads of licence files, which
+are wrapped and commented: its words in windows as long as each. A file without a notice inherits from the licence file in the nearest directory above.
 
 Defined cases: a null or empty text has no notice; of equal scores the licence first by name is
 taken; rows that repeat a path share the best notice among them and come as often as they do; a
@@ -15,6 +16,10 @@ with a licence file. Other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +45,59 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+_BSD_END = (" THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED"
+            " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY")
+_COPIES = (" Everyone is permitted to copy and distribute verbatim copies of this license document, but"
+           " changing it is not allowed.")
+
+
+def _gnu(subject: str, name: str, version: str) -> str:
+    return (f"This {subject} is free software: you can redistribute it and/or modify it under the terms of the"
+            f" GNU {name} as published by the Free Software Foundation, either version {version} of the"
+            " License, or (at your option) any later version.")
+
+
+# Headers of files and heads of licence files, compared with windows of as many words.
+HEADERS = (
+    ("AGPL-3.0", _gnu("program", "Affero General Public License", "3")),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free"
+     " Software Foundation, Inc. <https://fsf.org/>" + _COPIES),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file"
+     " except in compliance with the License. You may obtain a copy of the License at"
+     " http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND"
+     " CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of"
+     " conditions and the following disclaimer in the documentation and/or other materials provided with"
+     " the distribution." + _BSD_END),
+    ("BSD-3-Clause", "the names of its contributors may be used to endorse or promote products derived from"
+     " this software without specific prior written permission." + _BSD_END),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification,"
+     " are permitted provided that the following conditions are met"),
+    ("GPL-2.0", _gnu("program", "General Public License", "2")),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software"
+     " Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA" + _COPIES),
+    ("GPL-3.0", _gnu("program", "General Public License", "3")),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software"
+     " Foundation, Inc. <https://fsf.org/>" + _COPIES),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
+     " without fee is hereby granted, provided that the above copyright notice and this permission notice"
+     " appear in all copies."),
+    ("LGPL-2.1", _gnu("library", "Lesser General Public License", "2.1")),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free"
+     " Software Foundation, Inc. 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA" + _COPIES),
+    ("LGPL-3.0", _gnu("library", "Lesser General Public License", "3")),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software"
+     " Foundation, Inc. <https://fsf.org/>" + _COPIES),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
+     " software and associated documentation files"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a"
+     " copy of the MPL was not distributed with this file, You can obtain one at"
+     " http://mozilla.org/MPL/2.0/."),
+)
+# Words between the starts of two windows; a window is at most half of that off.
+STRIDE = 4
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+(?:[ \t()]+[A-Za-z0-9.+-]+)*)"
 THRESHOLD = 0.8
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 TERM = r"[a-z0-9]+"
@@ -100,13 +158,98 @@ def notices(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD
     )
 
 
+def headers(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``path, licence, score`` of the files (path, text) with an SPDX line or one of ``HEADERS``."""
+    words = [re.findall(TERM, notice.lower()) for _, notice in HEADERS]
+    ranked = Counter(t for w in words for t in set(w))
+    squares = {t: (math.log(1 + len(words)) - math.log(1 + n) + 1) ** 2 for t, n in ranked.items()}
+    rare = (math.log(1 + len(words)) + 1) ** 2
+    weights = F.create_map(*(F.lit(x) for known in squares.items() for x in known))
+    needed, known = set(), []
+    for (licence, _), w in zip(HEADERS, words):
+        total = left = sum(squares[t] for t in set(w))
+        # Long words, which prose has less often; a text with none of them stays below the threshold.
+        for term in sorted(set(w), key=lambda t: (t not in needed, -len(t), t)):
+            if left < threshold**2 * total:
+                break
+            needed.add(term)
+            left -= squares[term]
+        known.append(
+            F.struct(
+                F.lit(licence).alias("licence"),
+                F.lit(len(w)).alias("length"),
+                F.lit(total).alias("square"),
+                F.lit(sorted(set(w))).alias("terms"),
+            )
+        )
+
+    def shared(terms: Column) -> Column:
+        """Squared weight of the terms that the header has too."""
+        return F.aggregate(
+            F.array_intersect(terms, F.col("header.terms")),
+            F.lit(0.0),
+            lambda sum_, t: sum_ + F.element_at(weights, t),
+        )
+
+    def norm(terms: Column) -> Column:
+        return F.sqrt(
+            F.aggregate(
+                terms,
+                F.lit(0.0),
+                lambda sum_, t: sum_ + F.coalesce(F.try_element_at(weights, t), F.lit(rare)),
+            )
+        )
+
+    texts = files.where("path is not null and text is not null").select("path", "text")
+    lower = F.lower("text")
+    spdx = (
+        texts.where(F.contains(lower, F.lit("spdx-license-identifier:")))
+        .select("path", F.trim(F.regexp_extract("text", SPDX, 1)).alias("licence"), F.lit(1.0).alias("score"))
+        .where("licence != ''")
+    )
+    # Marks of comments are no terms, except for these two words.
+    plain = F.regexp_replace(lower, r"(?m)^[ \t]*(?:rem|dnl)\b", "")
+    some = reduce(or_, (F.contains(lower, F.lit(t)) for t in sorted(needed)))
+    starts = F.expr(f"sequence(1, greatest(1, size(terms) - header.length + {STRIDE}), {STRIDE})")
+    found = (
+        texts.where(some)
+        .select("path", F.regexp_extract_all(plain, F.lit(TERM), 0).alias("terms"))
+        .select("path", "terms", F.explode(F.array(*known)).alias("header"))
+        .where(shared(F.array_distinct("terms")) >= threshold**2 * F.col("header.square"))
+        .select("path", "terms", "header", F.explode(starts).alias("start"))
+        .select(
+            "path",
+            "header",
+            F.array_distinct(F.slice("terms", F.col("start"), F.col("header.length"))).alias("window"),
+        )
+        .select(
+            "path",
+            "header.licence",
+            F.round(
+                shared(F.col("window")) / norm(F.col("window")) / F.sqrt("header.square"), 9
+            ).alias("score"),
+        )
+        .where(F.col("score") >= threshold)
+    )
+    return (
+        spdx.select("*", F.lit(0).alias("rank"))
+        .unionByName(found.select("*", F.lit(1).alias("rank")))
+        .groupBy("path")
+        .agg(F.min(F.struct("rank", (-F.col("score")).alias("by"), "licence")).alias("best"))
+        .select("path", "best.licence", (-F.col("best.by")).alias("score"))
+    )
+
+
 def scan(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``path, notice, score, licence, inherited_from`` for every row of ``files`` (path, text).
 
     ``templates`` has ``licence, template, notice``, a few rows. ``licence`` is the notice's, or
     that of the licence file in the nearest directory above, which ``inherited_from`` names.
     """
-    found = stage(notices(files, templates, threshold))
+    by_template = stage(notices(files, templates, threshold))
+    # Few files have a header, so these are joined.
+    more = headers(files, threshold).join(by_template, "path", "left_anti")
+    found = stage(by_template.unionByName(more))
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     owners = (

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import re
+import textwrap
 
 import pytest
 
@@ -63,6 +64,23 @@ def test_inheritance(frame, templates):
     assert licenses.scan(files, templates.limit(0)).where("licence is not null").collect() == []
 
 
+def test_headers_that_are_wrapped_and_commented(frame, templates):
+    def wrapped(notice, mark, width):
+        return mark[0] + "\n".join(mark[1] + line for line in textwrap.wrap(notice, width)) + mark[2]
+
+    marks = [("", "", ""), ("/*\n", " * ", "\n *\n * more words\n */"), ("", "# ", "\n#\n# more"), ("", "REM ", "")]
+    rows = [("spdx.c", "// SPDX-License-Identifier: GPL-2.0-only\nint x;"), ("plain.c", "free software of the version")]
+    wanted = {"spdx.c": "GPL-2.0-only", "plain.c": None}
+    for n, (licence, notice) in enumerate(licenses.HEADERS):
+        for k, mark in enumerate(marks):
+            rows.append((f"{n}.{k}", "Some words before it\n" + wrapped(notice, mark, 50 + 9 * k)))
+            wanted[f"{n}.{k}"] = licence
+    found = licenses.scan(frame(rows, "path string, text string"), templates).collect()
+    assert {r["path"]: r["licence"] for r in found} == wanted
+    (row,) = licenses.scan(frame([(None, rows[0][1])], "path string, text string"), templates).collect()
+    assert row["licence"] is None
+
+
 def test_query_on_the_smallest_tables(spark):
     sf_dir = "/root/testdata/sf0.001"
     assert differences(queries.op2_license_scan(spark, sf_dir), connect(sf_dir), licenses.SQL) == ""
