@@ -11,7 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from lodespark.llm import chat, decontaminate, licenses, minhash, mixing, ngramlm, pii, quality, tokencount, tokenfile
+from lodespark.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    minhash,
+    mixing,
+    ngramlm,
+    pii,
+    quality,
+    tokencount,
+    tokenfile,
+    whitening,
+)
 from lodespark.llm.storage import new_folder
 from lodespark.staging import stage
 
@@ -155,6 +167,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_license_scan": op2_license_scan,
@@ -166,6 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {
