@@ -22,6 +22,7 @@ from lodespark.llm import (
     quality,
     tokencount,
     tokenfile,
+    warc,
     whitening,
 )
 from lodespark.llm.storage import new_folder
@@ -171,6 +172,15 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.resolved(warc.read(spark, folder))
+    # What was just written has no problems; else the query must not pass over them.
+    kind = F.when(F.col("problem").isNull(), F.col("record_type")).otherwise(F.raise_error("problem"))
+    return found.select("page_id", "payload_bytes", "payload_digest", kind.alias("record_type"), "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_license_scan": op2_license_scan,
@@ -183,10 +193,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_web_archives": op13_web_archives,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op5_chat_format": chat.SQL,
     "op8_source_mix": mixing.SQL,
+    "op13_web_archives": warc.SQL,
 }

@@ -39,6 +39,14 @@ def replacing(path: str) -> Iterator:
     system.move(unfinished, name)
 
 
+@contextmanager
+def opened(path: str) -> Iterator:
+    """A file as a stream of its bytes, also if its name says that they are packed."""
+    system, name = _locate(path)
+    with system.open_input_stream(name, compression=None) as source:
+        yield source
+
+
 def mapped(path: str, dtype: str) -> np.ndarray:
     """The numbers in a file: memory-mapped if the folder is mounted, else read."""
     system, name = _locate(path)
