@@ -19,6 +19,7 @@ from lodespark.llm import (
     mixing,
     ngramlm,
     pii,
+    prefixtrie,
     quality,
     tokencount,
     tokenfile,
@@ -168,6 +169,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations")).drop("turn_conv_id", "turn_position")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -192,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_web_archives": op13_web_archives,
 }
@@ -200,5 +206,6 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op5_chat_format": chat.SQL,
     "op8_source_mix": mixing.SQL,
+    "op11_prefix_trie": prefixtrie.SQL,
     "op13_web_archives": warc.SQL,
 }
