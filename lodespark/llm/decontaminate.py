@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodespark.llm.words import groups
+from lodespark.llm.words import groups, tidied
 from lodespark.staging import spread, stage
 
 WINDOW = 13
@@ -181,10 +181,11 @@ SPANS = "array<struct<start: int, end: int>>"
 SPANS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _scan(docs: DataFrame, automaton: Automaton) -> DataFrame:
+def _scan(docs: DataFrame, automaton: Automaton, with_text: bool = False) -> DataFrame:
     """``docs`` with n_words, spans (word positions) and items found by one automaton."""
     sent = docs.sparkSession.sparkContext.broadcast(vars(automaton))  # plain data, no class
 
+    @tidied
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Automaton.restored(sent.value)
         for batch in batches:
@@ -206,13 +207,13 @@ def _scan(docs: DataFrame, automaton: Automaton) -> DataFrame:
                 names=[*keep, "n_words", "spans", "items"],
             )
 
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if with_text or c != "text"]
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in keep)
     return docs.mapInArrow(scanned, f"{kept}n_words long, spans {SPANS}, items array<string>")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_words, spans of hit words, sorted items.
+def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): n_words, spans of hit words, sorted items; the text if asked for.
 
     One pass over the documents for each automaton. Several passes are put together by
     a row number that is written with the documents first.
@@ -222,20 +223,22 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     first = next(automata, Automaton([], window))
     second = next(automata, None)
     if second is None:
-        return _scan(docs, first)
+        return _scan(docs, first, with_text)
     numbered = stage(docs.withColumn("row", F.monotonically_increasing_id()))
-    parts = [stage(_scan(numbered, first)), stage(_scan(numbered, second))]
+    parts = [stage(_scan(numbered, first, with_text)), stage(_scan(numbered, second))]
     parts += [stage(_scan(numbered, more)) for more in automata]
     every = parts[0]
     for part in parts[1:]:
-        every = every.unionByName(part)
+        every = every.unionByName(part, allowMissingColumns=True)
     merged = every.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
+        *([F.first("text", ignorenulls=True).alias("text")] if with_text else []),
         F.sort_array(F.flatten(F.collect_list("spans"))).alias("all"),  # a row for each automaton
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return merged.select("doc_id", "n_words", _united(F.col("all")).alias("spans"), "items")
+    text = ["text"] if with_text else []
+    return merged.select("doc_id", *text, "n_words", _united(F.col("all")).alias("spans"), "items")
 
 
 def _united(spans):
@@ -278,8 +281,7 @@ def removed(docs: DataFrame, benchmark: DataFrame, longest: int = 0, share: int
 
     A document of which one word in ``share`` is hit is marked, to be left out as a whole.
     """
-    rows = docs.select(F.struct("doc_id", "text").alias("doc_id"), "text")
-    found = judged(hits(rows, benchmark), share)
+    found = judged(hits(docs, benchmark, with_text=True), share)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,6 +296,6 @@ def removed(docs: DataFrame, benchmark: DataFrame, longest: int = 0, share: int
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id.doc_id", "doc_id.text", "spans", "contaminated").mapInArrow(
+    return found.select("doc_id", "text", "spans", "contaminated").mapInArrow(
         cleaned, f"doc_id {kind}, text string, contaminated boolean"
     )

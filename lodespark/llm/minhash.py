@@ -6,7 +6,8 @@ centre among its bands, then classes are only compared with those of another com
 
 Defined cases: documents without words (null, empty or white space) have no shingles and are linked with
 nothing; a text of fewer words than a shingle has one, its whole sequence; rows with a null id
-are linked with nothing; rows that repeat an id are linked by it. Other columns are ignored.
+are linked with nothing; rows that repeat an id are linked by it, whatever their texts, and so are all
+that each of them is linked with. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodespark.llm.components import connected_components
+from lodespark.llm.lookup import looked_up
 from lodespark.llm.storage import partitions
-from lodespark.llm.words import WordIds, groups, spaced
+from lodespark.llm.words import WordIds, groups, spaced, tidied
 from lodespark.staging import spread, stage
 
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 6) ** 40 = 5e-6.
@@ -40,8 +42,10 @@ STAR_ROUNDS = 1
 LARGE_BAND, CHUNK = 64, 512
 # Members that are compared with one copy of a hot class.
 SALT = 500
-# Ids that are broadcast, in 8 bytes each, to pick texts without a shuffle; more are joined.
+# Texts that are broadcast, in 16 bytes each, to pick texts without a shuffle; more are joined.
 SENT_IDS = 1_000_000
+# A class, and the text that stands for it.
+TEXT_OF = ("node", "code", "doc_id", "text_key")
 
 
 def _odd(rng: np.random.Generator, size) -> np.ndarray:
@@ -115,12 +119,19 @@ def _binary(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
+    )
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, code, bands, signature``; the last three null for an empty set.
+    """``doc_id, text_key, n_shingles, code, bands, signature``; the last three null for an empty set.
 
-    ``code`` stands for the whole set: equal for texts with equal sets.
+    ``code`` stands for the whole set: equal for texts with equal sets. ``text_key`` is a hash of the text.
     """
 
+    @tidied
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, signer = WordIds(), Signer()
         for batch in batches:
@@ -135,6 +146,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch["doc_id"].slice(first, len(texts)),
+                        "text_key": batch["text_key"].slice(first, len(texts)),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "code": _binary(
                             [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -149,10 +161,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     }
                 )
 
-    rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = spread(keyed(docs))
     return rows.mapInArrow(
         sketch,
-        "doc_id long, n_shingles long, code binary, bands array<long>, signature array<long>",
+        "doc_id long, text_key long, n_shingles long, code binary, bands array<long>, signature array<long>",
     )
 
 
@@ -168,11 +180,12 @@ def _alike(left: str, right: str, percent: int) -> Column:
 
 
 def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, codes)``: the shingles of the wanted classes.
+    """``(node, codes)``: the shingles of the wanted classes.
 
-    ``nodes`` (doc_id, code) says which text stands for an id, should several do.
+    ``nodes`` (node, code, doc_id, text_key) says which of the texts (doc_id, text_key, text) stands for a class.
     """
 
+    @tidied
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in batches:
@@ -181,14 +194,13 @@ def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) ->
                 codes = batch["code"].slice(first, len(group)).to_pylist()
                 own = [xxhash.xxh3_128_digest(s) == c for s, c in zip(sets, codes)]
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": batch["doc_id"].slice(first, len(group)), "codes": _binary(sets)}
+                    {"node": batch["node"].slice(first, len(group)), "codes": _binary(sets)}
                 ).filter(pa.array(own))
 
     return (
-        texts.join(nodes, "doc_id")
-        .join(wanted, "doc_id", "left_semi")
-        .select("doc_id", "text", "code")
-        .mapInArrow(encoded, "doc_id long, codes binary")
+        texts.join(nodes.join(wanted, "node", "left_semi"), ["doc_id", "text_key"])
+        .select("node", "text", "code")
+        .mapInArrow(encoded, "node long, codes binary")
     )
 
 
@@ -216,6 +228,7 @@ def verified(
     many partners is copied to several partitions.
     """
 
+    @tidied
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, np.empty(0, np.uint64)
         for batch in batches:
@@ -237,14 +250,14 @@ def verified(
     salted = pairs.join(counts, "a").withColumn(
         "salt", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")
     )
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = _sets(texts, nodes, wanted, width)
     own = (
-        sets.join(counts, F.col("doc_id") == F.col("a"))
+        sets.join(counts, F.col("node") == F.col("a"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         .select("a", "salt", F.lit(None).cast("long").alias("b"), "codes")
     )
-    members = sets.join(salted, F.col("doc_id") == F.col("b")).select("a", "salt", "b", "codes")
+    members = sets.join(salted, F.col("node") == F.col("b")).select("a", "salt", "b", "codes")
     return (
         own.unionByName(members)
         .repartition(partitions(texts), "a", "salt")
@@ -260,22 +273,22 @@ def _star_pairs(members: DataFrame, sharing: DataFrame, turn: int, percent: int)
     The centre of a band is first the class that shares its bands with the most others, as the
     original of a family of edited copies does, then one by an order that changes with the turn.
     """
-    order = F.xxhash64(F.col("doc_id"), F.lit(turn)) if turn else F.col("degree")
+    order = F.xxhash64(F.col("node"), F.lit(turn)) if turn else F.col("degree")
     ranked = members.withColumn("order", order)
     centres = ranked.groupBy("band").agg(
-        F.max(F.struct("order", "doc_id", "component")).alias("centre")
+        F.max(F.struct("order", "node", "component")).alias("centre"), F.count("*").alias("size")
     )
     pairs = (
-        members.join(centres, "band")
+        looked_up(members, centres, ["band"], "size")
         .where("component != centre.component")
-        .groupBy("doc_id")
-        .agg(F.max(F.struct("centre.order", "centre.doc_id")).alias("centre"))
-        .select(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
+        .groupBy("node")
+        .agg(F.max(F.struct("centre.order", "centre.node")).alias("centre"))
+        .select(F.col("centre.node").alias("a"), F.col("node").alias("b"))
     )
-    classes = sharing.select("doc_id", "n_shingles", "signature").alias
+    classes = sharing.select("node", "n_shingles", "signature").alias
     return (
-        pairs.join(classes("x"), F.col("a") == F.col("x.doc_id"))
-        .join(classes("y"), F.col("b") == F.col("y.doc_id"))
+        pairs.join(classes("x"), F.col("a") == F.col("x.node"))
+        .join(classes("y"), F.col("b") == F.col("y.node"))
         .where(_alike("x", "y", percent))
         .select("a", "b")
     )
@@ -287,13 +300,13 @@ def _cross_pairs(members: DataFrame, sharing: DataFrame, percent: int) -> DataFr
     A pair is taken in the first band that it shares.
     """
     dealt = members.join(
-        sharing.select("doc_id", "n_shingles", "signature", "bands"), "doc_id"
+        sharing.select("node", "n_shingles", "signature", "bands"), "node"
     ).withColumn("number", F.array_position("bands", F.col("band")))
     equal = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
     first = F.array_position(equal, True) == F.col("x.number")
-    other = F.expr("x.band = y.band and x.component != y.component and x.doc_id < y.doc_id")
+    other = F.expr("x.band = y.band and x.component != y.component and x.node < y.node")
     joined = dealt.alias("x").join(dealt.alias("y"), [other, _alike("x", "y", percent), first])
-    return joined.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def _block_pairs(
@@ -307,12 +320,14 @@ def _block_pairs(
     pair leaves the task that is not a link, and of two components only one sure link does.
     """
 
+    @tidied
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = [np.frombuffer(c, np.uint64) >> np.uint64(32) for c in batch["codes"].to_pylist()]
             short = [np.unique(c.astype(np.uint32)).tobytes() for c in codes]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "codes": _binary(short)})
+            yield pa.RecordBatch.from_pydict({"node": batch["node"], "codes": _binary(short)})
 
+    @tidied
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         for batch in batches:
@@ -327,11 +342,11 @@ def _block_pairs(
         left, right = ([r for r in rows if r["chunk"] == c] for c in (key or (0, 0, 0))[1:])
         if not left or not right:
             return []
-        names = ("doc_id", "component", "n_shingles", "signature")
+        names = ("node", "component", "n_shingles", "signature")
         x, y = ({n: np.array([r[n] for r in side]) for n in names} for side in (left, right))
         pairs = x["component"][:, None] != y["component"]
         if key[1] == key[2]:
-            pairs &= x["doc_id"][:, None] < y["doc_id"]
+            pairs &= x["node"][:, None] < y["node"]
         small, large = (f(x["n_shingles"][:, None], y["n_shingles"]) for f in (np.minimum, np.maximum))
         pairs &= small * 100 >= large * percent
         bits = x["signature"][:, None, :] ^ y["signature"]
@@ -347,22 +362,22 @@ def _block_pairs(
                 continue
             if _linked(sets[0][i], sets[1][j], percent + 1):
                 joined.add(both)
-            a, b = left[i]["doc_id"], right[j]["doc_id"]
+            a, b = left[i]["node"], right[j]["node"]
             found.append((min(a, b), max(a, b)))
         return found
 
-    wanted = members.select("doc_id").distinct()
-    sets = _sets(texts, sharing.select("doc_id", "code"), wanted, width)
-    sets = stage(sets.mapInArrow(shortened, "doc_id long, codes binary"))
+    wanted = members.select("node").distinct()
+    sets = _sets(texts, sharing.select(*TEXT_OF), wanted, width)
+    sets = stage(sets.mapInArrow(shortened, "node long, codes binary"))
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     dealt = (
-        members.join(sharing.select("doc_id", "n_shingles", "signature"), "doc_id")
-        .join(sets, "doc_id")
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
+        members.join(sharing.select("node", "n_shingles", "signature"), "node")
+        .join(sets, "node")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
     )
-    kept = ("band", "low", "high", "chunk", "doc_id", "component", "n_shingles", "signature", "codes")
+    kept = ("band", "low", "high", "chunk", "node", "component", "n_shingles", "signature", "codes")
     return (
         dealt.select(*kept)
         .repartition(partitions(texts), "band", "low", "high")
@@ -374,23 +389,39 @@ def _block_pairs(
 def _open_bands(shared: DataFrame, components: DataFrame | None) -> DataFrame:
     """Members of the bands that hold more than one component, with their component."""
     if components is None:
-        return shared.withColumn("component", F.col("doc_id"))
+        return shared.withColumn("component", F.col("node"))
     labelled = shared.join(
-        components.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).select("band", "doc_id", "degree", F.coalesce("component", "doc_id").alias("component"))
+        components.withColumnRenamed("node", "node"), "node", "left"
+    ).select("band", "node", "degree", F.coalesce("component", "node").alias("component"))
     mixed = (
         labelled.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low < high")
     )
-    return labelled.join(mixed.select("band"), "band", "left_semi")
+    return looked_up(labelled, stage(mixed.select("band", "size")), ["band"], "size").drop("size")
+
+
+def _few(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted texts (doc_id, text_key), which are sent to all executors if they are few."""
+    if wanted.count() <= SENT_IDS:
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, ["doc_id", "text_key"], "left_semi")
 
 
-def _few(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with one of the ids, which are sent to all executors if they are few."""
-    if ids.count() <= SENT_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_semi")
+def _same_id(sketched: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Edges between the classes of an id that has several; None if there is no such id."""
+    rows = sketched.where("doc_id is not null and n_shingles > 0").select("doc_id", "code")
+    several = rows.groupBy("doc_id").agg(
+        F.min("code").alias("low"), F.max("code").alias("high"), F.count("*").alias("n")
+    )
+    several = stage(several.where("low != high").select("doc_id", "n"))
+    if several.isEmpty():
+        return None
+    own = looked_up(rows, several, ["doc_id"], "n").select("doc_id", "code").distinct()
+    sizes = classes.select("code", "node", "n")
+    placed = stage(looked_up(own, sizes, ["code"], "n").select("doc_id", "node"))
+    least = placed.groupBy("doc_id").agg(F.min("node").alias("v"), F.count("*").alias("n"))
+    return looked_up(placed, least, ["doc_id"], "n").where("node != v").select(F.col("node").alias("u"), "v")
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -400,62 +431,65 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     of their union; ``component_id`` is the smallest id that can be reached, and ``kept``
     marks the document that has it.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = stage(sketches(docs, width))
-    kept = ("doc_id", "n_shingles", "bands", "signature")
+    kept = ("n_shingles", "bands", "signature")
+    # A class is a node of its own, which one of its rows stands for.
     classes = stage(
         sketched.where("doc_id is not null and n_shingles > 0")
         .groupBy("code")
-        .agg(F.min(F.struct(*kept)).alias("first"))
-        .select("code", "first.*")
+        .agg(F.min(F.struct("doc_id", "text_key", *kept)).alias("first"), F.count("*").alias("n"))
+        .select(F.monotonically_increasing_id().alias("node"), "code", "n", "first.*")
     )
-    # An id with several texts stands for the one of the smallest code.
-    nodes = classes.groupBy("doc_id").agg(F.min(F.struct("code", *kept[1:])).alias("first"))
-    banded = nodes.select("doc_id", F.explode("first.bands").alias("band"))
-    common = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(banded.join(common, "band"))
-    degrees = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    sharing = stage(nodes.select("doc_id", "first.*").join(degrees, "doc_id"))
-    shared = shared.join(sharing.select("doc_id", "degree"), "doc_id")
-    texts = stage(_few(docs, sharing.select("doc_id")))
+    banded = classes.select("node", F.explode("bands").alias("band"))
+    common = stage(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = stage(looked_up(banded, common, ["band"], "n"))
+    degrees = shared.groupBy("node").agg(F.sum("n").alias("degree"))
+    sharing = stage(classes.select(*TEXT_OF, *kept).join(degrees, "node"))
+    shared = shared.select("band", "node").join(sharing.select("node", "degree"), "node")
+    texts = _few(keyed(docs), sharing.select("doc_id", "text_key"))
+    again = sketched.groupBy("doc_id", "text_key").count().where("count > 1 and doc_id is not null")
+    texts = stage(texts if again.isEmpty() else texts.dropDuplicates(["doc_id", "text"]))
 
     edges = components = None
-    members = stage(_open_bands(shared, None))
-    codes = sharing.select("doc_id", "code")
+    text_of = sharing.select(*TEXT_OF)
 
     def linked(found: DataFrame) -> None:
         nonlocal edges, components
         edges = stage(found.toDF("u", "v") if edges is None else edges.union(found))
         components = stage(connected_components(edges))
 
+    by_id = _same_id(sketched, classes)
+    if by_id is not None:
+        linked(by_id)
+    members = stage(_open_bands(shared, components))
     for turn in range(STAR_ROUNDS):
         likely = stage(_star_pairs(members, sharing, turn, percent))
         if not likely.isEmpty():
-            linked(verified(likely, codes, texts, width, percent))
+            linked(verified(likely, text_of, texts, width, percent))
             members = stage(_open_bands(shared, components))
     sizes = members.groupBy("band").agg(F.count("*").alias("size"))
-    members = stage(members.join(sizes, "band"))
+    members = stage(looked_up(members, stage(sizes), ["band"], "size"))
     small, large = members.where(F.col("size") <= LARGE_BAND), members.where(F.col("size") > LARGE_BAND)
     likely = _cross_pairs(small, sharing, percent)
     if not large.isEmpty():
         likely = likely.union(_block_pairs(large, sharing, texts, width, percent)).distinct()
     likely = stage(likely)
     if not likely.isEmpty():
-        linked(verified(likely, codes, texts, width, percent))
-
-    reached = classes.join(
-        components.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ) if components is not None else classes.withColumn("component", F.lit(None).cast("long"))
-    named = reached.select("code", F.coalesce("component", "doc_id").alias("component_id"))
-    return (
-        sketched.select(
-            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("code")).alias("code")
-        )
-        .join(named, "code", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        linked(verified(likely, text_of, texts, width, percent))
+
+    named = classes.select("code", "n", F.col("doc_id").alias("component_id"))
+    if components is not None:
+        reached = stage(components.join(classes.select("node", "doc_id"), "node"))
+        least = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+        found = looked_up(reached, stage(least), ["component"], "n").select("node", F.col("component_id").alias("least"))
+        named = classes.join(found, "node", "left").select(
+            "code", "n", F.coalesce("least", "doc_id").alias("component_id")
         )
+    rows = sketched.select("doc_id", "n_shingles", "code")
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    return (
+        looked_up(rows.where(~alone), stage(named), ["code"], "n")
+        .select("doc_id", "n_shingles", "component_id")
+        .unionByName(rows.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
     )

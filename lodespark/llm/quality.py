@@ -1,13 +1,15 @@
 """Quality rules: counts of a text, and a calibrated logistic regression on hashed n-grams.
 
 The model has two heads, trained on a bounded sample of the labelled rows and calibrated on rows left
-out of training. The one for good quality weighs the whole text; the one for toxic language
-weighs the stretch from each word on and goes by the worst, as a few words may be all there is; it
-is fitted once more on all rows after calibration, as marked texts are few. Texts are in Arrow batches against fixed thresholds.
+out of training, with the weights that then judge. The one for good quality weighs the whole text; the one
+for toxic language weighs the stretch from each word on, as a few words may be all there is, and
+goes by the worst and by the sum of the text over the root of its words, as one doubtful word is not much
+but several are. Texts are in Arrow batches against fixed thresholds.
 
 Defined cases: a null text has no words and fails the base rule; labels of unknown documents, and null
 labels, are left out; a head whose sample has one class only passes every text; a row of the labels that
-repeats a document counts as often as it comes. Other columns are carried along.
+repeats a document counts as often as it comes; of texts with one id the first by order is the
+labelled one. Other columns are carried along, but not those called like one of ``COLUMNS``.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodespark.llm.words import WordIds, groups
-from lodespark.staging import spread
+from lodespark.llm.words import WordIds, groups, tidied
+from lodespark.staging import spread, stage
 
 # Labelled rows that the model is fitted on: those of the smallest hashes. The bound holds at every
-# size of the labels; one row in four of them is kept for calibration.
-SAMPLE = 4000
+# size of the labels; one row in four of them is kept for calibration. Rows beyond so many bytes of
+# text, in the same order, are left out, too.
+SAMPLE, SAMPLE_BYTES = 4000, 1 << 26
 CALIBRATION = 4
 BITS = 18
 SIZE = 1 << BITS
@@ -42,6 +45,8 @@ WORST_EPOCHS, WORST_RATE = 12, 0.1
 DEVIATIONS, SMOOTHING, START = 3.0, 2.0, 0.3
 # Thresholds: a text is kept if it is at least so likely good and at most so likely toxic.
 GOOD, TOXIC = 0.5, 0.5
+# Of the slopes of the calibration, per row.
+PENALTY = 1e-4
 # Base rule.
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
 
@@ -118,6 +123,14 @@ class Stretches:
         length = min(STRETCH, len(self.words))
         return by_word[length:] - by_word[:-length]
 
+    def evidence(self, weights: np.ndarray) -> tuple[float, float]:
+        """Weight of the worst stretch, and of the text over the root of its words."""
+        sums = self.sums(weights)
+        if not len(sums):
+            return 0.0, 0.0
+        whole = weights[:SIZE][self.words].sum() + weights[SIZE:][self.characters].sum()
+        return float(sums.max()), float(whole) / len(self.words) ** 0.5
+
     def slopes(self, worst: int, out: np.ndarray, by: float) -> None:
         """Add to ``out`` how the weight of one stretch depends on the weights."""
         stop = min(worst + STRETCH, len(self.words))
@@ -134,21 +147,26 @@ class Model:
 
     good: np.ndarray
     toxic: np.ndarray
-    bias: tuple[float, float] = (50.0, -50.0)  # without two classes every text passes
-    slope: tuple[float, float] = (1.0, 1.0)
-    shift: tuple[float, float] = (0.0, 0.0)
+    # Slopes and shift of what ``evidence`` gives; without two classes every text passes.
+    for_good: tuple[float, ...] = (0.0, 50.0)
+    for_toxic: tuple[float, ...] = (0.0, 0.0, -50.0)
 
-    def logits(self, codes: np.ndarray, words: list[bytes], text: bytes) -> tuple[float, float]:
+    def evidence(self, codes: np.ndarray, words: list[bytes], text: bytes) -> tuple[float, float, float]:
+        """For good quality, then twice for toxic language."""
         grams = _ngrams(codes) if len(codes) else np.empty(0, np.int64)
-        good = self.bias[0] + CHARACTERS * self.good[SIZE:][_characters(text, WHOLE_WIDTH)].mean()
+        good = CHARACTERS * self.good[SIZE:][_characters(text, WHOLE_WIDTH)].mean()
         if len(grams):
             good += self.good[grams].sum() / np.sqrt(len(grams))
-        worst = Stretches.of(codes, words).sums(self.toxic)
-        return good, self.bias[1] + (worst.max() if len(worst) else 0.0)
+        return good, *Stretches.of(codes, words).evidence(self.toxic)
 
-    def chances(self, logits: np.ndarray) -> np.ndarray:
-        exponent = logits * np.array(self.slope) + np.array(self.shift)
-        return 1 / (1 + np.exp(-np.clip(exponent, -50, 50)))
+    def chances(self, evidence: np.ndarray) -> np.ndarray:
+        """Of good quality and of toxic language, from rows of evidence."""
+        x = evidence.reshape(-1, 3)
+        exponents = [
+            x[:, :1] @ self.for_good[:-1] + self.for_good[-1],
+            x[:, 1:] @ self.for_toxic[:-1] + self.for_toxic[-1],
+        ]
+        return 1 / (1 + np.exp(-np.clip(np.stack(exponents, axis=1), -50, 50)))
 
 
 class Steps:
@@ -225,22 +243,25 @@ def _log_odds(rows: list[Stretches], wanted: np.ndarray) -> np.ndarray:
     return np.where(np.abs(odds) > DEVIATIONS * np.sqrt(variance), odds, 0.0)
 
 
-def _calibrated(logits: np.ndarray, wanted: np.ndarray) -> tuple[float, float]:
-    """Slope and shift that make the logits probabilities, by Newton steps."""
-    x = np.stack([logits, np.ones_like(logits)], axis=1)
-    # Smoothed targets keep the slope finite where the classes part cleanly.
+def _calibrated(evidence: np.ndarray, wanted: np.ndarray) -> tuple[float, ...]:
+    """Slopes and shift that make the evidence a probability, by Newton steps."""
+    scale = evidence.std(axis=0) + 1e-9
+    x = np.concatenate([evidence / scale, np.ones((len(evidence), 1))], axis=1)
+    # Smoothed targets and a light penalty keep the slopes finite where the classes part cleanly.
     n_good, n_bad = wanted.sum(), len(wanted) - wanted.sum()
     target = np.where(wanted > 0, (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
-    beta = np.array([1.0, 0.0])
-    for _ in range(30):
+    penalty = PENALTY * len(x) * np.append(np.ones(len(scale)), 0.0)
+    beta = np.zeros(x.shape[1])
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        beta -= np.clip(np.linalg.solve(curve, x.T @ (p - target)), -2, 2)
-    return float(beta[0]), float(beta[1])
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-6)
+        beta -= np.clip(np.linalg.solve(curve, x.T @ (p - target) + penalty * beta), -2, 2)
+    return *(beta[:-1] / scale).tolist(), float(beta[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit both heads on at most ``sample`` rows of ``labels`` (doc_id, quality, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = SAMPLE_BYTES) -> Model:
+    """Fit both heads on at most ``sample`` rows of ``labels`` (doc_id, quality, toxic), and on at
+    most ``size`` bytes of their texts, which the driver collects."""
     order = ["code", "quality", "toxic"]
     chosen = (
         labels.where("doc_id is not null and quality is not null and toxic is not null")
@@ -254,9 +275,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .limit(sample)
     )
     # At most ``sample`` rows of four numbers are broadcast.
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = joined.select(*order, F.coalesce("text", F.lit("")).alias("text")).collect()
-    return fitted(sorted(tuple(r)[:3] + (r["text"].encode(),) for r in rows))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    single = texts.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    joined = stage(single.join(F.broadcast(chosen), "doc_id").select(*order, "text"))
+    sizes = sorted(tuple(r) for r in joined.select(*order, F.octet_length("text")).collect())
+    kept = int((np.cumsum([r[-1] for r in sizes]) <= size).sum())
+    if kept < len(sizes):
+        joined = joined.where(F.struct(*order) < F.struct(*(F.lit(v) for v in sizes[kept][:3])))
+    return fitted(sorted(tuple(r)[:3] + (r["text"].encode(),) for r in joined.collect()))
 
 
 def fitted(rows: list[tuple[int, int, int, bytes]]) -> Model:
@@ -270,28 +296,23 @@ def fitted(rows: list[tuple[int, int, int, bytes]]) -> Model:
         return [describe(ids.codes(w), w, text) for w, (*_, text) in zip(words, rows)]
 
     model = Model(np.zeros(2 * SIZE, np.float32), np.zeros(2 * SIZE, np.float32))
-    bias, slope, shift = list(model.bias), list(model.slope), list(model.shift)
     for head in (0, 1):  # quality, toxic
         wanted = np.array([float(r[1 + head] > 0) for r in rows])
         if any(len(set(wanted[fold])) < 2 for fold in (held, ~held)):
             continue
         if head:
-            worst = described(lambda codes, words, _: Stretches.of(codes, words))
-            steps = _fit_worst([w for w, h in zip(worst, held) if not h], wanted[~held])
-            sums = [w.sums(steps.weights) for w, h in zip(worst, held) if h]
-            logits = np.array([s.max() if len(s) else 0.0 for s in sums]) + steps.bias
-            steps = _fit_worst(worst, wanted)
+            texts = described(lambda codes, words, _: Stretches.of(codes, words))
+            steps = _fit_worst([t for t, h in zip(texts, held) if not h], wanted[~held])
             model.toxic = steps.weights.astype(np.float32)
+            found = np.array([t.evidence(model.toxic) for t, h in zip(texts, held) if h])
+            model.for_toxic = _calibrated(found, wanted[held])
         else:
             whole = described(lambda codes, _, text: features(codes, text))
             steps = _fit_whole([w for w, h in zip(whole, held) if not h], wanted[~held])
             model.good = steps.weights.astype(np.float32)
-            logits = np.array([model.good[b] @ v for (b, v), h in zip(whole, held) if h])
-            logits += steps.bias
+            found = np.array([[model.good[b] @ v] for (b, v), h in zip(whole, held) if h])
+            model.for_good = _calibrated(found, wanted[held])
             del whole
-        bias[head] = steps.bias
-        slope[head], shift[head] = _calibrated(logits, wanted[held])
-    model.bias, model.slope, model.shift = tuple(bias), tuple(slope), tuple(shift)
     return model
 
 
@@ -309,10 +330,14 @@ def counts(text: bytes, ids: np.ndarray) -> tuple[int, int, int, int, int]:
 
 
 def _repeated(ids: np.ndarray) -> int:
-    """Words in runs of three that come twice or more; the numbers take 21 bits at most."""
+    """Words in runs of three that come twice or more."""
     if len(ids) < 4:
         return 0
-    runs = ids[:-2] << 42 | ids[1:-1] << 21 | ids[2:]
+    if ids.max() < 1 << 21:
+        runs = ids[:-2] << 42 | ids[1:-1] << 21 | ids[2:]
+    else:  # numbers of the pairs, so that two fit in 64 bits
+        pairs = np.unique(ids[:-1] << 32 | ids[1:], return_inverse=True)[1]
+        runs = pairs[:-1] << 32 | ids[2:]
     order = np.argsort(runs, kind="stable")
     ranked = runs[order]
     same = ranked[1:] == ranked[:-1]
@@ -331,26 +356,28 @@ COLUMNS = (
 )
 
 
-def assess(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs`` other than ``text``, and those of ``COLUMNS``."""
+def assess(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
+    """The columns of ``docs``, ``text`` only if asked for, and those of ``COLUMNS``."""
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # a few megabytes of weights
-    keep = [f for f in docs.schema if f.name != "text"]
+    names = [part.split()[0] for part in COLUMNS.split(",")]
+    left = {*names} if with_text else {*names, "text"}
+    keep = [f for f in docs.schema if f.name.lower() not in left]
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in keep)
 
+    @tidied
     def assessed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, own = WordIds(), Model(**sent.value)
-        names = [part.split()[0] for part in COLUMNS.split(",")]
         for batch in batches:
             for first, texts in groups(batch):
                 ids.trim()
-                base, logits = [], []
+                base, evidence = [], []
                 for text in texts:
                     words = text.split()
                     numbers = ids.number(words)
                     base.append(counts(text, numbers))
-                    logits.append(own.logits(ids.hashes[numbers], words, text))
+                    evidence.append(own.evidence(ids.hashes[numbers], words, text))
                 base = np.array(base, np.int64)
-                chances = own.chances(np.array(logits))
+                chances = own.chances(np.array(evidence))
                 failed = (base[:, 0] < LEAST_WORDS) | (
                     100 * base[:, 4] > REPEATED_PERCENT * base[:, 0]
                 )
@@ -364,4 +391,5 @@ def assess(docs: DataFrame, model: Model) -> DataFrame:
                     names=[*(f.name for f in keep), *names],
                 )
 
-    return spread(docs).mapInArrow(assessed, kept + COLUMNS)
+    read = [f.name for f in keep if f.name != "text"]
+    return spread(docs.select(*(F.col(f"`{c}`") for c in read), "text")).mapInArrow(assessed, kept + COLUMNS)

@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodespark.llm.storage import mapped, partitions, replacing
+from lodespark.llm.words import tidied
 
-# Bound on the remembered words of a task; beyond it they are forgotten and encoded anew.
-MEMO = 400_000
+# Bound on the bytes of each table of remembered words of a task; beyond it they are forgotten and
+# encoded anew. An entry takes about so many besides its word and ids.
+MEMO, EACH = 1 << 26, 200
 # Longer pieces are not remembered.
 LONG_WORD = 64
 # Rows per batch that is read back.
@@ -104,13 +106,16 @@ class Memo(dict):
     def __init__(self, function):
         super().__init__()
         self.function = function
+        self.bytes = 0
 
     def __missing__(self, key: str):
         value = self.function(key)
         if len(key) <= LONG_WORD:
-            if len(self) >= MEMO:
+            if self.bytes >= MEMO:
                 self.clear()
+                self.bytes = 0
             self[key] = value
+            self.bytes += EACH + len(key) + len(value or b"")
         return value
 
 
@@ -127,6 +132,7 @@ def write(docs: DataFrame, definition: str, end_id: int, folder: str) -> None:
     dtype = "<u2" if largest < 2**16 else "<u4"
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
+    @tidied
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value, "H" if dtype == "<u2" else "I")
         end = np.array([end_id], dtype).tobytes()

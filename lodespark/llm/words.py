@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-# Bound on the words that a task remembers; beyond it they are forgotten and hashed anew.
-MEMO = 600_000
+# Bound on the bytes that the words remembered by a task take; beyond it they are forgotten and
+# hashed anew. A word takes about so many besides its own, with its number and place in the table.
+MEMO, EACH = 1 << 26, 180
 # Bytes of text that are turned into arrays together.
 GROUP = 1 << 20
 
@@ -20,6 +25,7 @@ class WordIds(dict):
     def __init__(self):
         super().__init__()
         self.hashes = np.empty(1 << 16, np.uint64)
+        self.bytes = 0
 
     def __missing__(self, word: bytes) -> int:
         number = len(self)
@@ -27,6 +33,7 @@ class WordIds(dict):
             self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
         self.hashes[number] = xxhash.xxh64_intdigest(word)
         self[word] = number
+        self.bytes += len(word) + EACH
         return number
 
     def number(self, words: list[bytes]) -> np.ndarray:
@@ -39,8 +46,29 @@ class WordIds(dict):
 
     def trim(self) -> None:
         """Forget all words if there are too many; numbers given before no longer hold."""
-        if len(self) > MEMO:
+        if self.bytes > MEMO:
             self.clear()
+            self.bytes = 0
+
+
+def tidied(task: Callable) -> Callable:
+    """A task over batches that gives its memory back when it ends.
+
+    Workers are used again by later stages; what one leaves behind, in cycles or in the pools of
+    allocators, would add to what the next one takes.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # a C library other than GNU's
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
 
 
 def groups(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:

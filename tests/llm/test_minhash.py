@@ -84,6 +84,16 @@ def test_repeated_and_missing_ids(frame):
     )
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_texts_of_one_id_are_linked(frame, seed):
+    rng = random.Random(seed)
+    a, b = (" ".join(f"{rng.randrange(10**9)}" for _ in range(40)) for _ in range(2))
+    rows = [(4, a), (4, b), (9, b), (7, b + " more"), (12, a + " more"), (12, "z"), (2, "z"), (3, "apart")] + [(4, a)] * 3
+    rng.shuffle(rows)
+    found = {(r["doc_id"], r["component_id"]) for r in minhash.link(frame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert found == {(4, 2), (9, 2), (7, 2), (12, 2), (2, 2), (3, 3)}
+
+
 def test_empty_table(frame):
     assert minhash.link(frame([], "doc_id long, text string")).collect() == []
 

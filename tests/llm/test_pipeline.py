@@ -4,6 +4,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -63,6 +64,9 @@ def test_odd_documents(spark, frame, number):
     ids = [r["doc_id"] for r in found]
     if name == "near_duplicates":
         assert sorted(map(str, ids)) == sorted(map(str, [1, 3, 4, 5, None]))
+        other = docs.where("doc_id = 1").withColumn("text", F.lit("another text of the same id"))
+        both = step(spark, docs.unionByName(other), SF_DIR).where("doc_id = 1").collect()
+        assert len(both) == 2 and len({r["text"] for r in both}) == 2
     if name == "token_files":
         assert len(ids) == len(rows)
 
