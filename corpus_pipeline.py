@@ -19,15 +19,25 @@ def _whole(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
 
 
+def _packed(docs: DataFrame, name: str) -> DataFrame:
+    """The text, and all other columns packed, for operators that hand both on: texts are sent once."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias(name), "text")
+
+
+def _unpacked(found: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    return found.select(*(F.col("text" if c == "text" else f"{name}.`{c}`") for c in docs.columns))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rule or the model."""
     model = quality.fit(docs, queries.table(spark, sf_dir, "labels"))
-    judged = quality.assess(_whole(docs).select("row", "text"), model)
-    return judged.where("kept").select("row.*")
+    judged = quality.assess(_packed(docs, "row"), model, with_text=True)
+    return _unpacked(judged.where("kept"), docs, "row")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, and one of equal rows of an id."""
+    """Keep one document of each group of near duplicates; equal texts of an id are one document."""
     linked = minhash.link(docs, width=5, percent=80)
     kept = stage(linked.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")))
     single, repeated = kept.where("n = 1 or doc_id is null"), kept.where("n > 1 and doc_id is not null")
@@ -37,15 +47,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     if repeated.isEmpty():
         return of(kept)
-    return of(single).unionByName(of(repeated).dropDuplicates(["doc_id"]))
+    return of(single).unionByName(of(repeated).dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a share lies in passages of the benchmark."""
     benchmark = queries.table(spark, sf_dir, "benchmark")
-    rows = _whole(docs).select(F.col("row").alias("doc_id"), "text")
-    found = decontaminate.judged(decontaminate.hits(rows, benchmark))
-    return found.where("not contaminated").select("doc_id.*")
+    found = decontaminate.judged(decontaminate.hits(_packed(docs, "doc_id"), benchmark, with_text=True))
+    return _unpacked(found.where("not contaminated"), docs, "doc_id")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
