@@ -263,7 +263,11 @@ def predict_user_based(
     near = sims.select(
         F.col("left_id").alias("user_id"), F.col("right_id").alias("neighbour"), "similarity"
     )
-    rows = wanted.join(raters, "item_id").join(near, ["user_id", "neighbour"])
+    # From the neighbours that were found to what they rated of the requested items, so that an
+    # item with many raters does not meet all who ask for it. Of each request a task hands on its
+    # nearest neighbours only, as the window asks for the first ranks.
+    asked = raters.join(wanted.select("item_id").distinct(), "item_id", "left_semi")
+    rows = near.join(asked, "neighbour").join(wanted, ["user_id", "item_id"], "left_semi")
     base = means(centered, "user_id").select("user_id", "mean")
     return _predictions(wanted, rows, base, "user_id", neighbours, clipped)
 
@@ -291,7 +295,7 @@ def predict_item_based(
     near = sims.select(
         F.col("left_id").alias("item_id"), F.col("right_id").alias("neighbour"), "similarity"
     )
-    rows = wanted.join(rated, "user_id").join(near, ["item_id", "neighbour"])
+    rows = near.join(rated, "neighbour").join(wanted, ["user_id", "item_id"], "left_semi")
     return _predictions(wanted, rows, base, "item_id", neighbours, clipped)
 
 

@@ -14,15 +14,19 @@ from lodespark.sources import readers, writers
 from lodespark.staging import stage
 
 FIRST_POINTS = 200
+# How much farther from the middle of the scale ratings lie that predictions are clipped of.
+SPREAD = 6
 
 
 def _line_items(spark: SparkSession, sf_dir: str, *values: str) -> DataFrame:
-    """Lines made of the order lines, every eleventh of them blank."""
+    """Lines made of the order lines, and a blank one beside the first of each order."""
     lines = bindings.table(spark, sf_dir, "lineitem")
     text: Column = F.concat(*[F.expr(v).cast("string") for v in values])
-    text = F.when(F.expr("l_orderkey % 11 = 0"), F.lit(" \t ")).otherwise(text)
     number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return lines.select(number.cast("long").alias("line_id"), text.alias("value"))
+    blank = lines.where("l_linenumber = 1").select(
+        (-number).cast("long").alias("line_id"), F.repeat(F.lit(" \t"), F.col("l_linenumber")).alias("value")
+    )
+    return lines.select(number.cast("long").alias("line_id"), text.alias("value")).unionByName(blank)
 
 
 def parse_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +152,15 @@ def clipped_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.rounded(recommend.predict_item_based(centered, wanted), "prediction")
 
 
+def clipped_wide_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from ratings spread so far that predictions pass both ends of the scale."""
+    rows = bindings.ratings(spark, sf_dir)
+    wide = F.lit(3.0) + SPREAD * (F.col("rating") - 3.0)
+    centered = stage(recommend.center(rows.withColumn("rating", wide)))
+    wanted = recommend.unrated(centered, queries.TARGET_USER)
+    return queries.rounded(recommend.predict_item_based(centered, wanted), "prediction")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -171,10 +184,10 @@ QUERIES = {
         label_lines,
         first_points_sample,
         clipped_predictions,
+        clipped_wide_predictions,
     )
 }
 
-_NOT_BLANK = "l_orderkey % 11 <> 0"
 _NUMBER = "(l_orderkey * 10 + l_linenumber)::BIGINT"
 
 
@@ -185,7 +198,7 @@ def _lines(name: str, value: str) -> str:
 ORACLES = {
     "parse_adjacency_lines": f"""
 SELECT l_orderkey AS "user", unnest(list_distinct([l_partkey, l_suppkey])) AS friend
-FROM lineitem WHERE {_NOT_BLANK}""",
+FROM lineitem""",
     "parse_basket_lines": oracles._with(oracles.ITEMS)
     + " SELECT conv_id * 1000 + turn AS basket_id, item FROM basket_items",
     "parse_article_lines": """
@@ -193,17 +206,17 @@ SELECT doc_id::VARCHAR AS doc_id, md5(text) AS text_md5 FROM documents""",
     "parse_point_lines": f"""
 SELECT {_NUMBER} AS point_id, unnest([0, 1, 2])::INTEGER AS dim,
   unnest([l_partkey::DOUBLE, l_linenumber + 0.5, -l_suppkey::DOUBLE])::DOUBLE AS value
-FROM lineitem WHERE {_NOT_BLANK}""",
+FROM lineitem""",
     "parse_centroid_lines": f"""
 SELECT l_orderkey::INTEGER AS cluster_id, unnest([0, 1])::INTEGER AS dim,
   unnest([l_linenumber + 0.25, l_partkey::DOUBLE])::DOUBLE AS value
-FROM lineitem WHERE {_NOT_BLANK}""",
+FROM lineitem""",
     "parse_rating_lines": f"""
 SELECT l_suppkey AS user_id, l_partkey AS item_id, (l_linenumber + 0.5)::DOUBLE AS rating,
-  l_orderkey AS ts, {_NUMBER} AS line_id FROM lineitem WHERE {_NOT_BLANK}""",
+  l_orderkey AS ts, {_NUMBER} AS line_id FROM lineitem""",
     "parse_request_lines": f"""
 SELECT l_suppkey AS user_id, l_partkey AS item_id, l_orderkey AS ts
-FROM lineitem WHERE {_NOT_BLANK}""",
+FROM lineitem""",
     "aligned_predictions": """
 SELECT o_custkey AS user_id, o_orderkey AS item_id, o_custkey + o_orderkey AS ts,
   (o_orderkey % 64 + 0.5)::DOUBLE AS score, (o_orderkey % 2)::INTEGER AS label FROM orders""",
@@ -244,4 +257,13 @@ UNION ALL SELECT printf('Rule: %s -> %s, Confidence: %.4f, Support: %d', anteced
     )
     + """ SELECT user_id, item_id, round(greatest(0.5, least(5.0, prediction)), 6) AS prediction
     FROM by_item""",
+    "clipped_wide_predictions": oracles._with(
+        oracles.RATINGS.replace("AS MATERIALIZED (\n  SELECT user_id, item_id, rating, ts", f"""AS MATERIALIZED (
+  SELECT user_id, item_id, 3.0::DOUBLE + {SPREAD} * (rating - 3.0::DOUBLE) AS rating, ts"""),
+        oracles.TARGET_REQUESTS,
+        oracles.ITEM_SIMILARITY,
+        oracles._by_item(oracles.NEIGHBOURS),
+    )
+    + """ SELECT user_id, item_id, round(greatest(0.5, least(5.0, prediction)), 6) AS prediction
+    FROM by_item""",
 }

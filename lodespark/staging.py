@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables, which every executor reaches.
 
-    That of ``spark.checkpoint.dir``; a session without one gets a folder of the
-    application in its warehouse, which executors share as well.
+    That of ``spark.checkpoint.dir``. A session without one gets a folder of the application in its
+    warehouse, unless that lies on a local path, which other machines than this do not see.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    here = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not here and re.match(r"file:|(?!\w+:)", warehouse):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{warehouse}/staged-{spark.sparkContext.applicationId}"
 
 

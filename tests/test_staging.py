@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import pytest
+
 from lodespark import staging
 
 
 class FakeConf:
-    def __init__(self, folder):
-        self.folder = folder
+    def __init__(self, folder, warehouse):
+        self.folder, self.warehouse = folder, warehouse
 
     def get(self, key, default=None):
-        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "file:/house/"}[key]
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": self.warehouse}[key]
 
 
 class FakeContext:
@@ -20,14 +22,21 @@ class FakeContext:
 
 
 class FakeSession:
-    def __init__(self, folder, master):
-        self.conf = FakeConf(folder)
+    def __init__(self, folder, master, warehouse="file:/house/"):
+        self.conf = FakeConf(folder, warehouse)
         self.sparkContext = FakeContext(master)
 
 
 def test_folder_of_the_session_comes_first():
     assert staging.shared_folder(FakeSession("hdfs:///tables", "yarn")) == "hdfs:///tables"
-    assert staging.shared_folder(FakeSession(None, "yarn")) == "file:/house/staged-app-yarn"
+    assert staging.shared_folder(FakeSession(None, "local[8]")) == "file:/house/staged-app-local[8]"
+    assert staging.shared_folder(FakeSession(None, "yarn", "hdfs:///house")) == "hdfs:///house/staged-app-yarn"
+
+
+@pytest.mark.parametrize("warehouse", ["file:/house", "/house", "house"])
+def test_no_folder_of_one_machine_on_a_cluster(warehouse):
+    with pytest.raises(ValueError):
+        staging.shared_folder(FakeSession(None, "yarn", warehouse))
 
 
 def test_staged_table_holds_the_same_rows(spark):
