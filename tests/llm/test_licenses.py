@@ -81,6 +81,26 @@ def test_headers_that_are_wrapped_and_commented(frame, templates):
     assert row["licence"] is None
 
 
+def test_all_that_is_found_decides(frame, templates):
+    wanted = {
+        "planted/two/LICENSE": "BSD-2-Clause", "planted/two/code.c": "BSD-2-Clause", "planted/three/LICENSE": "BSD-3-Clause",
+        "planted/spdx.c": "BSD-2-Clause", "planted/sentence.c": "BSD-3-Clause", "planted/zlib.h": "Zlib",
+        "planted/zero.txt": "0BSD", "planted/isc.txt": "ISC",
+    }
+    found = licenses.scan(frame(list(licenses.PLANTED), "path string, text string"), templates).collect()
+    assert {r["path"]: r["licence"] for r in found} == wanted
+
+
+def test_texts_set_aside_hold_no_notice(frame, templates):
+    lines = [" ".join(n.split()[: len(n.split()) * k // 10]) for _, n in licenses.TEMPLATES + licenses.HEADERS for k in range(3, 11)]
+    files = frame([(f"{n}", f"prose\n{t}\nprose") for n, t in enumerate(lines)], "path string, text string")
+    few = [notice for _, notice in licenses.TEMPLATES]
+    kept = {r["path"] for r in licenses.hopeful(files, few).collect()}
+    for found in (licenses.candidates(files, templates), licenses.headers(files)):
+        assert {r["path"] for r in found.select("path").distinct().collect()} <= kept
+    assert licenses.hopeful(frame([("a", "an ordinary text"), (None, "license"), ("b", None)], "path string, text string"), few).count() == 0
+
+
 def test_query_on_the_smallest_tables(spark):
     sf_dir = "/root/testdata/sf0.001"
     assert differences(queries.op2_license_scan(spark, sf_dir), connect(sf_dir), licenses.SQL) == ""
