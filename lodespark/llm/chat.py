@@ -286,7 +286,7 @@ WITH rows AS (
 told AS (
   SELECT *, role || chr(10) || text || chr(10) AS said,
     8 + length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text,
-      '\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|im_start\|>|<\|im_end\|>')) + 1
+      '\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|im_start\|>|<\|im_end\|>')) + 1
       + length(role) - length(replace(role, chr(10), '')) AS chars
   FROM rows)
 SELECT conv_id, count(*)::BIGINT AS n_turns,

@@ -287,14 +287,16 @@ def headers(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
 
     # Marks of comments are no terms, except for these two words.
+    every = F.lit(sorted(squares))
     plain = F.regexp_replace(F.lower("text"), r"(?m)^[ \t]*(?:rem|dnl)\b", "")
     starts = F.expr(f"sequence(1, greatest(1, size(terms) - header.length + {STRIDE}), {STRIDE})")
     window = F.array_distinct(F.slice("terms", F.col("start"), F.col("header.length")))
     score = F.round(shared(F.col("window")) / norm(F.col("window")) / F.sqrt("header.square"), 9)
     return (
         files.select("path", F.regexp_extract_all(plain, F.lit(TERM), 0).alias("terms"))
-        .select("path", "terms", F.explode(F.array(*known)).alias("header"))
-        .where(shared(F.array_distinct("terms")) >= threshold**2 * F.col("header.square") * (1 - 1e-9))
+        .withColumn("some", F.array_intersect("terms", every))
+        .select("path", "terms", "some", F.explode(F.array(*known)).alias("header"))
+        .where(shared(F.col("some")) >= threshold**2 * F.col("header.square") * (1 - 1e-9))
         .select("path", "terms", "header", F.explode(starts).alias("start"))
         .select("path", "header", window.alias("window"))
         .select("path", "header.licence", score.alias("score"), F.col("header.number").alias("header"))

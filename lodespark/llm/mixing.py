@@ -9,7 +9,8 @@ Nothing is sorted and no group is gathered; a histogram has at most 1024 buckets
 Defined cases: a null text has size 0; documents without source are one source, the last; rows with
 equal id and text have equal tickets and are taken or left together, so that a source
 which consists of few such rows may miss its target by some of them; a source without
-words, and every source of an empty table, gets target 0. Other columns are carried along.
+words, and every source of an empty table, gets target 0. Other columns are carried along, but those
+called like one that is added are replaced.
 """
 
 from __future__ import annotations
@@ -139,6 +140,7 @@ def plan(rows: DataFrame) -> DataFrame:
 def taken(rows: DataFrame, planned: DataFrame) -> DataFrame:
     """Add ``source_size, target, copies, taken``: how often, and how many words, the mix takes."""
     keys = planned.withColumnRenamed("source", "_source")
+    rows = rows.drop("source_size", "target", "rounds", "threshold", "_source")
     copies = F.col("rounds") + (F.col("ticket") < F.col("threshold")).cast("long")
     return (
         rows.join(keys, rows["source"].eqNullSafe(keys["_source"]))

@@ -29,6 +29,17 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 BASE_KINDS = ("email", "ip", "card", "phone")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 
+# Characters of the account numbers of a country.
+IBAN_SIZES = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24,
+    "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
 
 @dataclass(frozen=True)
 class Weak:
@@ -121,13 +132,28 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers: of each candidate the beginning that ends where a group does, has the length of
+    its country, and passes the check sum, as words in capitals or numbers may follow. Of a
+    country that is not listed any length will do, the longest first."""
+    at = 0
+    while m := IBAN.search(text, at):
+        low, high = m.span()
+        ends = [n for n in range(low + 15, high + 1) if n == high or text[n] == " "]
+        at = high
+        for end in reversed(ends):
+            number = text[low:end].replace(" ", "")
+            wanted = IBAN_SIZES.get(number[:2])
+            if (len(number) == wanted if wanted else 15 <= len(number) <= 34) and mod97(number):
+                yield low, end
+                at = end
+                break
+
+
 def added_spans(text: str) -> list[Span]:
     """Spans of the other kinds that reach the threshold, by kind and start."""
     found = []
-    for m in IBAN.finditer(text):
-        number = m.group().replace(" ", "")
-        if len(number) <= 34 and mod97(number):
-            found.append(("iban", *m.span()))
+    found.extend(("iban", *span) for span in ibans(text))
     for weak in WEAK:
         for m in weak.pattern.finditer(text):
             near = text[max(0, m.start() - REACH) : m.end() + REACH]

@@ -15,8 +15,14 @@ from lodespark.staging import shared_folder, stage
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A folder of its own for one run, inside the shared folder; made by the first writer."""
-    return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    """A folder of its own for one run, inside the shared folder; made by the first writer.
+
+    Hadoop says in which file system it lies, as for tables: a path without a scheme is not one of
+    each machine's own disk on a cluster.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
 
 
 def _locate(path: str) -> tuple[fs.FileSystem, str]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 
+import duckdb
 import pytest
 
 from lodespark.llm import chat, queries
@@ -57,6 +58,14 @@ def test_no_control_string_is_left_in_a_text():
     assert not any(control in body for control in chat.CONTROLS)
 
 
+def test_sql_on_control_strings(spark, frame, tmp_path):
+    rows = [(1, 0, "user", "a \\ <s> b |<s>"), (1, 1, "assistant", "\\</s>\n<|im_end|>"), (2, None, None, None)]
+    frame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert differences(queries.op5_chat_format(spark, str(tmp_path)), con, chat.SQL) == ""
+
+
 def test_odd_rows(frame):
     row = json.dumps({"role": "user", "text": "same"})
     records = frame(

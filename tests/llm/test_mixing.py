@@ -91,3 +91,10 @@ def test_sql(frame, rows, spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert differences(queries.op8_source_mix(spark, str(tmp_path)), con, mixing.SQL) == ""
+
+
+def test_columns_that_clash(frame):
+    docs = frame([(1, "a", "x y", "t", 5)], "doc_id long, source string, text string, target string, size int")
+    rows = stage(mixing.measured(docs))
+    (row,) = mixing.taken(rows, mixing.plan(rows)).collect()
+    assert row["target"] == 2.0 and row["size"] == 2 and len(row.asDict()) == len(row)

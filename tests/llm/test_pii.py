@@ -53,6 +53,12 @@ def test_luhn_and_mod97():
 def test_context_lifts_weak_kinds():
     assert pii.added_spans("ssn 123-45-6789") == [("ssn", 4, 15)]
     assert pii.added_spans("part 123-45-6789") == []
+    iban = "DE89 3704 0044 0532 0130 00"
+    for after in ("", " BIC COBADEFF", " 2024", " 2024 AND MORE", " GB82 WEST 1234 5698 7654 32", ", X"):
+        spans = pii.added_spans(f"to {iban}{after}")
+        assert spans[0] == ("iban", 3, 3 + len(iban)), after
+        assert len(spans) == (2 if "WEST" in after else 1)
+    assert pii.added_spans("DE88 3704 0044 0532 0130 00 2024") == []
     assert pii.added_spans("IBAN GB82 WEST 1234 5698 7654 32.") == [("iban", 5, 32)]
     assert [s[0] for s in pii.added_spans("call (555) 123-4567")] == ["local_phone"]
 
