@@ -441,8 +441,9 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("node"), "code", "n", "first.*")
     )
     banded = classes.select("node", F.explode("bands").alias("band"))
-    common = stage(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = stage(looked_up(banded, common, ["band"], "n"))
+    common = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    # Most bands are of one class: these rows go before skewed bands are looked up.
+    shared = stage(banded.join(common, "band"))
     degrees = shared.groupBy("node").agg(F.sum("n").alias("degree"))
     sharing = stage(classes.select(*TEXT_OF, *kept).join(degrees, "node"))
     shared = shared.select("band", "node").join(sharing.select("node", "degree"), "node")
