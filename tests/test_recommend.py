@@ -225,6 +225,40 @@ def test_large_catalogues_have_the_same_scores(spark, rank):
         assert row["factor_score"] == pytest.approx(1 / (1 + math.exp(-dot)), abs=1e-6)
 
 
+def test_rows_keep_their_width_over_restarts(spark, monkeypatch):
+    """150 items at rank 3: the whole space would take 150 columns, a row holds 30."""
+    rng, widths, restarts = np.random.default_rng(5), [], []
+    seen = rng.random((200, 150)) < np.linspace(0.6, 0.05, 150)
+    seen[:80, :20] = seen[80:140, 30:45] = seen[140:, 60:70] = True
+    cells = [(int(u), int(i)) for u, i in zip(*np.nonzero(seen))]
+    df = stage(spark.createDataFrame(cells, "user_id long, item_id long"))
+    plain_turned = latent._turned
+
+    def turned(rows, along, turn, kept=None):
+        widths.append(sum(rows.select(F.size("basis"), F.size("block")).first()))
+        restarts.append(kept is not None)
+        return plain_turned(rows, along, turn, kept)
+
+    monkeypatch.setattr(latent, "_turned", turned)
+    found = {r[0]: r[1] for r in latent.item_factors(df, 3, small_catalogue=1).collect()}
+    v = np.linalg.svd(seen.astype(float), full_matrices=False)[2][:3].T
+    ours = np.array([found[i] for i in range(150)])
+    assert np.abs(ours @ ours.T - v @ v.T).max() < 1e-6
+    assert max(widths) <= 3 * latent.OVERSAMPLE and sum(restarts) > 1
+
+
+def test_equal_singular_values_are_all_found(spark):
+    """24 equal groups of two users and items beside 30 single cells: more copies than a block."""
+    cells = [(2 * g + u, 2 * g + i) for g in range(24) for u in (0, 1) for i in (0, 1)]
+    cells += [(1000 + n, 1000 + n) for n in range(30)]
+    df = spark.createDataFrame(cells, "user_id long, item_id long")
+    found = {r[0]: np.array(r[1]) for r in latent.item_factors(df, 24, small_catalogue=1).collect()}
+    for g in range(24):
+        assert found[2 * g] @ found[2 * g + 1] == pytest.approx(0.5, abs=1e-6)
+        assert found[2 * g] @ found[2 * g] == pytest.approx(0.5, abs=1e-6)
+    assert max(np.abs(found[1000 + n]).max() for n in range(30)) < 1e-6
+
+
 def test_unreached_tolerance_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(latent, "MOST_BLOCKS", 1)
     with pytest.raises(ValueError, match="residual"):
