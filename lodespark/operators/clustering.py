@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodespark.staging import spread
+from lodespark.operators.select import smallest
+from lodespark.staging import spread, stage
 
 ELBOW = (2, 3, 4, 5, 6, 8, 10)
 
@@ -161,8 +162,9 @@ def sample(
     n: int = 5000,
     dims: tuple[int, int] = (1, 4),
 ) -> DataFrame:
-    """Two coordinates and the cluster of the first ``n`` points by id."""
-    chosen = assign(points.orderBy("point_id").limit(n), centroids)
+    """Two coordinates and the cluster of the first ``n`` points by id, a whole number."""
+    first = stage(smallest(points, F.col("point_id"), ["point_id"], n))
+    chosen = assign(first, centroids)
     x, y = dims
     return chosen.select(
         "point_id", "cluster_id", F.col("coords")[x].alias("x"), F.col("coords")[y].alias("y")

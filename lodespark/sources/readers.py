@@ -19,8 +19,10 @@ LABELS = "user_id long, item_id long, label int, ts long"
 
 def _lines(spark: SparkSession, path: str, max_lines: int | None = None) -> DataFrame:
     """``(line_id, value)`` with ids that rise with file name and position in the file."""
-    lines = in_file_order(spark.read.text(path))
-    return lines if max_lines is None else lines.orderBy("line_id").limit(max_lines)
+    lines = spark.read.text(path)
+    if max_lines is None:
+        return in_file_order(lines)
+    return in_file_order(first_pieces(lines, max_lines)).orderBy("line_id").limit(max_lines)
 
 
 def not_blank(lines: DataFrame) -> DataFrame:
@@ -28,6 +30,28 @@ def not_blank(lines: DataFrame) -> DataFrame:
     return lines.where(F.regexp_replace("value", f"[{WHITESPACE}]", "") != "")
 
 
+def first_pieces(rows: DataFrame, n: int) -> DataFrame:
+    """Rows of the first pieces of files, in file order, that hold ``n`` rows together.
+
+    Counts per piece find the last one. Spark may cut files otherwise when it reads them again,
+    so that all that starts before the end of that piece is taken.
+    """
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    end = start + F.col("_metadata.file_block_length")
+    pieces = rows.groupBy(file.alias("file"), start.alias("start"), end.alias("end")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    last = (
+        pieces.withColumn("upto", F.sum("n").over(Window.orderBy("file", "start")))
+        .where(F.col("upto") >= n)
+        .orderBy("upto")
+        .first()
+    )
+    if last is None:
+        return rows
+    return rows.where((file < last["file"]) | ((file == last["file"]) & (start < last["end"])))
+
+
 def in_file_order(rows: DataFrame) -> DataFrame:
     """Add ``line_id`` to rows read from files; it follows file name and position.
 

@@ -70,6 +70,24 @@ def test_lines_of_several_files_follow_their_names(spark, tmp_path):
     assert first == 1
 
 
+def test_first_lines_come_from_the_first_pieces(spark, tmp_path):
+    """Four files of 500 lines in pieces of 1 KB: the first 700 lines need the first two files."""
+    (tmp_path / "in").mkdir()
+    for f in range(4):
+        text = "".join(f"{f * 500 + n}\n" for n in range(500))
+        (tmp_path / "in" / f"part {f}.txt").write_text(text)
+    path, size = str(tmp_path / "in"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        for n, most in ((1, 300), (700, 1000), (2000, 2000), (5000, 2000)):
+            kept = readers.first_pieces(spark.read.text(path), n).count()
+            assert min(n, 2000) <= kept <= most
+            values = [int(r["coords"][0]) for r in readers.read_points(spark, path, n).collect()]
+            assert sorted(values) == list(range(min(n, 2000)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_ratings_and_requests(spark, tmp_path):
     path = write(tmp_path / "ratings.csv", "1,2,3.5,77\n1,2,4.0,60\n")
     found = rows(readers.read_ratings(spark, path).orderBy("line_id").drop("line_id"))
