@@ -373,15 +373,21 @@ numbered_users AS (
 numbered_items AS (
   SELECT item_id, row_number() OVER (ORDER BY {_group('item_id', 'item_means')}, item_id) - 1 AS p
   FROM item_means),
-draws AS (
-  SELECT d, {_number('user', 'd')} % (SELECT count(*) FROM eligible) AS up,
-         {_number('item', 'd')} % (SELECT count(*) FROM item_means) AS ip
-  FROM (SELECT unnest(range({SAMPLE * 50})) AS d)),
+unrated AS (
+  SELECT user_id, item_id, row_number() OVER (ORDER BY u.p, i.p) - 1 AS rank
+  FROM numbered_users u CROSS JOIN numbered_items i
+  WHERE (user_id, item_id) NOT IN (SELECT (user_id, item_id) FROM ratings)),
+grid AS (
+  SELECT f, h, ceil(f / h)::BIGINT AS w
+  FROM (SELECT count(*) AS f, ceil(sqrt(count(*)))::BIGINT AS h FROM unrated)),
+round0 AS (
+  SELECT d, h, w, (d // w + {_number('round0', 'd % w')}) % h AS y, d % w AS x
+  FROM grid, (SELECT unnest(range({SAMPLE} + h * w - f)) AS d FROM grid)),
+round1 AS (SELECT d, h, w, y, (x + {_number('round1', 'y')}) % w AS x FROM round0),
+round2 AS (SELECT d, h, w, (y + {_number('round2', 'x')}) % h AS y, x FROM round1),
+draws AS (SELECT d, y * w + (x + {_number('round3', 'y')}) % w AS rank FROM round2),
 negatives AS (
-  SELECT user_id, item_id, min(d) AS d
-  FROM draws JOIN numbered_users u ON u.p = up JOIN numbered_items i ON i.p = ip
-  WHERE (user_id, item_id) NOT IN (SELECT (user_id, item_id) FROM ratings)
-  GROUP BY 1, 2 ORDER BY d LIMIT {SAMPLE}),
+  SELECT user_id, item_id, d FROM draws JOIN unrated USING (rank) ORDER BY d LIMIT {SAMPLE}),
 timed AS (
   SELECT user_id, item_id, 0 AS label, ts FROM (
     SELECT n.user_id, n.item_id, r.ts, row_number() OVER (PARTITION BY n.d
