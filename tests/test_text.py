@@ -168,6 +168,27 @@ def test_near_duplicates_hold_every_pair(spark, large_bucket, shape):
     assert len(wanted) > 30
 
 
+def test_pairs_are_compared_where_their_bucket_meets(spark):
+    """No pair is joined with signatures or sets; without a least agreement no bucket is cut."""
+    texts = variants(7)
+    pairs = neardup.near_duplicates(docs(spark, texts), 10, 4, min_agreement=0.0, large_bucket=5)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "doc_a" in line]
+    assert "Aggregate" not in plan.split("FlatMapGroupsInArrow")[0]
+
+    sets = {}
+    for n, text in enumerate(texts):
+        sets.setdefault(frozenset(shingle_set(text)), n)
+    signed = plain_signatures([set(s) for s in sets], 40)
+    wanted = {}
+    for (x, one, a), (y, two, b) in combinations(zip(signed, sets, sets.values()), 2):
+        if any(list(x[n : n + 4]) == list(y[n : n + 4]) for n in range(0, 40, 4)):
+            wanted[min(a, b), max(a, b)] = len(one & two) / len(one | two)
+    found = {(r["doc_a"], r["doc_b"]): r["jaccard"] for r in pairs.where("doc_a < doc_b").collect()}
+    assert found == pytest.approx(wanted)
+    assert pairs.where("doc_a < doc_b").count() == len(wanted) > 30
+
+
 def plain_cosines(texts, limit):
     tfs = [Counter(t.lower().split()) for t in texts]
     df = Counter(term for tf in tfs for term in tf)
