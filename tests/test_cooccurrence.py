@@ -8,7 +8,7 @@ from itertools import combinations
 
 import pytest
 
-from lodespark.operators import baskets, graph
+from lodespark.operators import baskets, cooccurrence, graph
 from lodespark.operators.cooccurrence import pair_counts
 
 
@@ -40,6 +40,24 @@ def test_large_groups_give_the_same_counts(spark, minimum):
     assert as_dict(pair_counts(df, minimum)) == brute(groups, minimum)
 
 
+def test_pairs_are_counted_at_their_first_item(spark, monkeypatch):
+    """No row per pair is shuffled; lists cut into small pieces give the same counts."""
+    monkeypatch.setattr(cooccurrence, "LISTED", 7)
+    rng = random.Random(11)
+    names = ["b", "a", "Z", "é", "aa", "", "z", "0", "ab"]
+    groups = {g: set(rng.sample(names, rng.choice([1, 2, 6, 9]))) for g in range(40)}
+    weights = {g: rng.choice([1, 3]) for g in groups}
+    rows = [(g, item, weights[g]) for g, items in groups.items() for item in items]
+    rows += [(None, "a", 1), (None, "b", 1), (1, None, 1)]
+    df = spark.createDataFrame(rows, "group_id long, item string, weight int")
+    found = pair_counts(df, 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan
+    assert not [x for x in plan.splitlines() if "Aggregate [item_a" in x]
+    assert as_dict(found) == brute(groups, 4, weights)
+    assert as_dict(pair_counts(df.where("group_id = -1"), 1)) == {}
+
+
 def test_weights_count_in_the_minimum(spark):
     rng = random.Random(5)
     groups = {g: set(rng.sample(range(30), rng.choice([2, 4, 20]))) for g in range(25)}
