@@ -80,14 +80,19 @@ def top_rules(rule_rows: DataFrame, k: int = 10) -> DataFrame:
     ).limit(k)
 
 
-def summary(baskets: DataFrame, support: int, min_confidence: float = 0.5) -> DataFrame:
-    """One row: the number of frequent items and of rules that pass."""
+def summary(
+    baskets: DataFrame,
+    support: int,
+    min_confidence: float = 0.5,
+    rule_rows: DataFrame | None = None,
+) -> DataFrame:
+    """One row: the number of frequent items and of rules that pass; the rules may be given."""
+    if rule_rows is None:
+        rule_rows = rules(baskets, support, min_confidence)
     items = frequent_items(baskets, support).select(
         F.lit(1).alias("is_item"), F.lit(0).alias("is_rule")
     )
-    passing = rules(baskets, support, min_confidence).select(
-        F.lit(0).alias("is_item"), F.lit(1).alias("is_rule")
-    )
+    passing = rule_rows.select(F.lit(0).alias("is_item"), F.lit(1).alias("is_rule"))
     return items.unionByName(passing).agg(
         F.coalesce(F.sum("is_item"), F.lit(0)).alias("frequent_items"),
         F.coalesce(F.sum("is_rule"), F.lit(0)).alias("rules"),

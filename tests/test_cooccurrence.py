@@ -58,6 +58,15 @@ def test_pairs_are_counted_at_their_first_item(spark, monkeypatch):
     assert as_dict(pair_counts(df.where("group_id = -1"), 1)) == {}
 
 
+def test_summary_counts_given_rules(spark, monkeypatch):
+    rows = [(n, ["a", "b"] if n % 3 else ["a", "c"]) for n in range(12)]
+    df = spark.createDataFrame(rows, "basket_id long, items array<string>")
+    found = baskets.rules(df, 2)
+    wanted = baskets.summary(df, 2).collect()
+    monkeypatch.setattr(baskets, "rules", None)
+    assert baskets.summary(df, 2, rule_rows=found).collect() == wanted
+
+
 def test_weights_count_in_the_minimum(spark):
     rng = random.Random(5)
     groups = {g: set(rng.sample(range(30), rng.choice([2, 4, 20]))) for g in range(25)}
