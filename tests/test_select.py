@@ -49,3 +49,29 @@ def test_positives_do_not_depend_on_partitions(spark):
     for parts in (1, 16):
         found = sampling.positives(df.repartition(parts), 40, 20, seed=3).collect()
         assert {tuple(r) for r in found} == wanted
+
+
+def test_positives_are_found_in_few_passes(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(4000).selectExpr("id % 50 AS user_id", "id AS item_id", "id AS ts")
+    df = rows.mapInArrow(counted, "user_id long, item_id long, ts long")
+    found = sampling.positives(df, 40, 20, seed=3).collect()
+    label = (3, "positive", "user_id", "item_id")
+    plain = rows.orderBy(sampling._key(*label)).limit(40).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, plain))
+    assert read.value <= 3 * 4000
+
+
+def test_positives_beyond_an_unlucky_bound(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("id % 50 AS user_id", "id AS item_id", "id AS ts")
+    plain = sampling.positives(df, 40, 20, seed=3).collect()
+    monkeypatch.setattr(sampling, "_key", lambda *a, key=sampling._key: sampling.F.concat(sampling.F.lit("f"), key(*a)))
+    monkeypatch.setattr(sampling, "_number", lambda *a: sampling.F.conv(sampling.F.substring(sampling._key(*a), 1, 15), 16, 10).cast("decimal(20,0)"))
+    beyond = sampling.positives(df, 40, 20, seed=3).collect()
+    assert sorted(map(tuple, beyond)) == sorted(map(tuple, plain))
