@@ -261,6 +261,39 @@ def test_equal_singular_values_are_all_found(spark, monkeypatch):
     assert max(np.abs(found[1000 + n]).max() for n in range(30)) < 1e-6
 
 
+def test_more_equal_singular_values_than_two_blocks_are_all_found(spark, monkeypatch):
+    """20 equal groups, blocks of 4 columns: one random block beside those found is not enough."""
+    cells = [(2 * g + u, 2 * g + i) for g in range(20) for u in (0, 1) for i in (0, 1)]
+    cells += [(1000 + n, 1000 + n) for n in range(30)]
+    monkeypatch.setattr(latent, "LEAST_RANK", 8)
+    df = spark.createDataFrame(cells, "user_id long, item_id long")
+    found = {r[0]: np.array(r[1]) for r in latent.item_factors(df, 8, small_catalogue=1).collect()}
+    assert max(np.abs(found[1000 + n]).max() for n in range(30)) < 1e-6
+
+
+def test_products_meet_packed_cells(spark, monkeypatch):
+    """No row per cell is shuffled for a product, in chunks of users and columns of any size."""
+    rng = np.random.default_rng(2)
+    seen = rng.random((50, 40)) < 0.3
+    seen[7], seen[:, 3] = True, True
+    cells = [(int(u), int(i)) for u, i in zip(*np.nonzero(seen))]
+    monkeypatch.setattr(latent, "CHUNK_CELLS", 30)
+    monkeypatch.setattr(latent, "GATHERED_CELLS", 7)
+    monkeypatch.setattr(latent, "TASK_NUMBERS", 80)
+    monkeypatch.setattr(latent, "PART", 9)
+    chunks, n = latent._chunks(spark.createDataFrame(cells, "user_id long, position long"))
+    block = rng.random((40, 5))
+    rows = [(i, i, [], row.tolist()) for i, row in enumerate(block)]
+    kinds = "item_id long, position long, basis array<double>, block array<double>"
+    product = latent._multiplied(chunks, n, spark.createDataFrame(rows, kinds), 40, 5).collect()
+    assert n > 8 and chunks.count() <= n
+    wanted = seen.T.astype(float) @ (seen @ block)
+    assert len(product) == 40
+    for row in product:
+        assert row["block"] == pytest.approx(wanted[row["position"]].tolist())
+        assert row["basis"] == pytest.approx(block[row["position"]].tolist())
+
+
 def test_unreached_tolerance_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(latent, "MOST_BLOCKS", 1)
     with pytest.raises(ValueError, match="residual"):
