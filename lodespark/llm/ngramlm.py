@@ -38,6 +38,8 @@ from lodespark.staging import spread, stage
 QUANTUM = 1 / 2048
 # Tokens whose counts a task gathers before it passes them on.
 GATHERED = 4_000_000
+# Bytes of text that are scored together: each shard of the pairs is asked once for all of them.
+SCORED = 1 << 22
 END = b""  # no word is empty
 
 
@@ -443,7 +445,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         known, pairs = Vocabulary(model.words), Pairs(model.pairs)
         size = model.vocabulary
         for batch in batches:
-            for first, texts in groups(batch):
+            for first, texts in groups(batch, most=SCORED):
                 known.trim()
                 words, ends = _sequence(texts)
                 places = known.look_up(words)

@@ -71,14 +71,16 @@ def tidied(task: Callable) -> Callable:
     return run
 
 
-def groups(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
-    """Position of the first row and the texts, some megabytes at a time, null as empty."""
+def groups(
+    batch: pa.RecordBatch, column: str = "text", most: int = GROUP
+) -> Iterator[tuple[int, list[bytes]]]:
+    """Position of the first row and the texts, ``most`` bytes or some more at a time, null as empty."""
     first, texts, size = 0, [], 0
     for value in batch[column]:
         text = value.as_py()
         texts.append(text.encode() if text else b"")
         size += len(texts[-1])
-        if size >= GROUP:
+        if size >= most:
             yield first, texts
             first, texts, size = first + len(texts), [], 0
     if texts:

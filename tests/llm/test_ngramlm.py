@@ -69,6 +69,19 @@ def test_like_brute_force(frame, monkeypatch, gathered):
     check(rows, model, brute)
 
 
+@pytest.mark.parametrize("scored", [1, 1 << 22])
+def test_texts_are_scored_together(frame, monkeypatch, scored):
+    """A text scores the same whatever is scored with it."""
+    monkeypatch.setattr(ngramlm, "SCORED", scored)
+    train = ["a b a c", "b a", "", "c c b"]
+    model, brute = ngramlm.fit(frame([(t,) for t in train], "text string")), BruteForce(train)
+    test = ["b a c", "", "a unseen b", "c", "unseen unseen"]
+    docs = frame(list(enumerate(test)), "doc_id long, text string").coalesce(1)
+    rows = [(r[0], test[r[0]], *r[1:]) for r in ngramlm.score(docs, model).collect()]
+    assert len(rows) == len(test)
+    check(rows, model, brute)
+
+
 def test_probabilities_sum_to_one(frame):
     model = ngramlm.fit(frame([("a b a c",), ("b a",)], "text string"))
     words = ["a", "b", "c", "unseen"]
