@@ -267,3 +267,20 @@ def test_gaussian_components_look_normal(spark):
     values = terms.select(*tfidf.gaussian_planes(tfidf.digest(F.col("term")), 2)).toPandas().to_numpy()
     assert abs(values.mean()) < 0.05 and abs(values.std() - 1) < 0.05
     assert abs(np.corrcoef(values.T)[0, 1]) < 0.05
+
+
+def test_plain_spaces_are_not_replaced(spark):
+    """Only other white space costs a match; what the words and letters are stays the same."""
+    other = [*range(9, 14), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    raw = "  a1 B" + "".join(f"{chr(c)}x{chr(c)}{chr(c)} " for c in other) + "é-f ​ g  "
+    df = spark.createDataFrame([(raw,), ("",), ("  ",), (None,), (" a  b ",)], "text string")
+    col = F.col("text")
+    rows = df.select(
+        F.regexp_replace(col, f"[{text.OTHER_WHITESPACE}]", "|").alias("marked"),
+        text.words(col).alias("words"),
+        text.normalize(col).alias("letters"),
+    ).collect()
+    assert rows[4]["marked"] == " a  b "
+    assert [r["words"] for r in rows] == [["a1", "B", *["x"] * len(other), "é-f", "​", "g"], [], [], None, ["a", "b"]]
+    assert rows[0]["letters"] == "  a b" + " x   " * len(other) + "éf  g  "
+    assert [r["letters"] for r in rows[1:]] == ["", "  ", None, " a  b "]
