@@ -244,6 +244,28 @@ def test_cosine_pairs_hold_every_pair(spark, limit):
     assert found == pytest.approx(plain_cosines(texts, limit))
 
 
+@pytest.mark.parametrize("block", [1, 5])
+def test_cosine_pairs_are_found_across_blocks(spark, block):
+    texts = word_texts(5)
+    lists = tfidf.token_lists(docs(spark, texts))
+    weights = tfidf.weights(tfidf.classes(lists))
+    found = tfidf.cosine_pairs(weights, 0.4, block=block).collect()
+    assert len({tuple(r)[:2] for r in found}) == len(found)
+    assert expand(found, tfidf.copies(lists).collect()) == pytest.approx(plain_cosines(texts, 0.4))
+
+
+def test_a_family_is_sent_to_blocks_and_not_to_pairs(spark):
+    rows = [(n, 0, t, 0.5, 0.9) for n in range(60) for t in range(20)]
+    joined = spark.createDataFrame(
+        rows, "doc_id long, bucket long, term_id long, unit double, after double"
+    )
+    lengths = joined.groupBy("doc_id").agg(F.lit(1).cast("long").alias("places"))
+    meeting = tfidf._meeting(joined, lengths, 0.9, 20).collect()
+    # 1,770 pairs share 20 terms; each document meets three blocks.
+    assert len(meeting) == 180
+    assert {(r["low"], r["high"]) for r in meeting} == {(a, b) for a in range(3) for b in range(a, 3)}
+
+
 @pytest.mark.parametrize("kind", ["sign", "gaussian"])
 def test_bucket_pairs_are_the_exact_pairs_in_one_bucket(spark, kind):
     texts = word_texts(4)
