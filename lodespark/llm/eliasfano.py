@@ -3,6 +3,10 @@
 The low bits of the numbers lie packed side by side. The high bits are written in unary: a one
 for each number, after as many zeros as its high part. A count of the zeros before each
 64-bit word finds the zero that closes a high part.
+
+Runs of numbers, such as the successors of each node of a trie, are one such sequence: the numbers
+of a run are raised by one more than the last before it. A second sequence points to where each
+run starts.
 """
 
 from __future__ import annotations
@@ -40,6 +44,28 @@ def write(path: str, values: np.ndarray) -> None:
         out.write(bytes(8))
 
 
+def write_runs(path: str, runs: np.ndarray, values: np.ndarray, count: int) -> None:
+    """Write ``values``, sorted and distinct within each of ``count`` runs, and pointers to the runs."""
+    sizes = np.bincount(runs, minlength=count)
+    pointers = np.concatenate([[0], np.cumsum(sizes)]) + np.arange(count + 1)  # distinct
+    write(f"{path}-starts", pointers.astype(np.uint64))
+    lasts = np.flatnonzero(np.diff(runs, append=-1))
+    raised = np.concatenate([[0], np.cumsum(values[lasts] + 1)])[:-1]
+    write(path, (values + np.repeat(raised, sizes[sizes > 0])).astype(np.uint64))
+
+
+def _selected(bits: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Place of a one in each 64-bit word, ``left`` ones being before it."""
+    at = np.zeros(len(left), np.int64)
+    for step in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
+        skip = left >= below
+        left = np.where(skip, left - below, left)
+        bits = np.where(skip, bits >> np.uint64(step), bits)
+        at += step * skip
+    return at
+
+
 class Sequence:
     """A written sequence."""
 
@@ -50,6 +76,7 @@ class Sequence:
         self.upper = raw[32 : 32 + 8 * words].view("<u8")
         at = 32 + 8 * words
         self.zeros = raw[at : at + 8 * (words + 1)].view("<i8")
+        self.ones = None  # ones before each word, once they are asked for
         packed = raw[at + 8 * (words + 1) :]
         # Eight bytes from every byte on: unaligned, but never beyond the padding.
         self.low = np.ndarray((len(packed) - 7,), "<u8", packed, strides=(1,))
@@ -62,17 +89,17 @@ class Sequence:
     def _before_zero(self, number: np.ndarray) -> np.ndarray:
         """Ones before the zero of a number, counted from 0."""
         word = np.searchsorted(self.zeros, number, side="right") - 1
-        left = number - self.zeros[word]
-        bits = ~self.upper[word]
-        at = np.zeros(len(number), np.int64)
-        for step in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
-            skip = left >= below
-            left = np.where(skip, left - below, left)
-            bits = np.where(skip, bits >> np.uint64(step), bits)
-            at += step * skip
+        at = _selected(~self.upper[word], number - self.zeros[word])
         return word * 64 + at - number
 
+    def get(self, index: np.ndarray) -> np.ndarray:
+        """Numbers at the places."""
+        if self.ones is None:
+            self.ones = 64 * np.arange(len(self.zeros)) - self.zeros
+        word = np.searchsorted(self.ones, index, side="right") - 1
+        high = word * 64 + _selected(self.upper[word], index - self.ones[word]) - index
+        return (high << self.low_bits | self._low(index).astype(np.int64)) + self.base
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 if it is not there."""
         out = np.full(len(keys), -1, np.int64)
@@ -102,3 +129,32 @@ class Sequence:
         index = np.arange(self.size)
         high = (np.flatnonzero(bits) - index).astype(np.uint64)
         return (high << np.uint64(self.low_bits) | self._low(index)) + np.uint64(self.base)
+
+
+class Runs:
+    """Written runs."""
+
+    def __init__(self, path: str):
+        self.numbers, self.starts = Sequence(path), Sequence(f"{path}-starts")
+
+    def find(self, runs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each value of a run, -1 if it is not there, and the size of the run.
+
+        Equal runs side by side are followed once.
+        """
+        new = np.diff(runs, prepend=-1) != 0
+        heads, which = runs[new], np.cumsum(new) - 1
+        start, end = self.starts.get(heads) - heads, self.starts.get(heads + 1) - heads - 1
+        at = np.full(len(runs), -1, np.int64)
+        if self.numbers.size:
+            raised = np.where(start > 0, self.numbers.get(np.maximum(start - 1, 0)) + 1, 0)
+            at = self.numbers.find((raised[which] + values).astype(np.uint64))
+            at[at >= end[which]] = -1
+        return at, (end - start)[which]
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """Run and value of every number."""
+        sizes = np.diff(self.starts.values().astype(np.int64)) - 1
+        held, numbers = sizes[sizes > 0], self.numbers.values().astype(np.int64)
+        raised = np.concatenate([[0], numbers[np.cumsum(held) - 1] + 1])[:-1]
+        return np.repeat(np.arange(len(sizes)), sizes), numbers - np.repeat(raised, held)

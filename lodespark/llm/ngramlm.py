@@ -1,19 +1,22 @@
-"""A bigram language model in an Elias-Fano trie, trained and applied on Spark.
+"""An n-gram language model in an Elias-Fano trie, trained and applied on Spark.
 
 Words are known by a 63-bit hash, their number is the rank of the hash. The first level of the trie
 holds the hashes with their counts. The second level holds, for every word, the words seen after
-it: a pair is the number ``first * V + second``, so that the successors of a word are a run of
-one monotone sequence, and a pair is looked up by a search for its successor relative to
-that run. Next to each pair stands its smoothed probability, and for each word the weight of its
-unseen successors, both as 16-bit steps of the logarithm.
+it, the third, for every pair, the words seen after that. The successors of a node are a run of
+one monotone sequence, and pointers lead from each node to its run, where a successor is
+searched. Next to each pair stands its smoothed probability, and for each word the weight of its
+unseen successors, both as 16-bit steps of the logarithm. Pairs and triples have their counts;
+how many successors a pair has is told by its pointers.
 
-Both levels are cut into shards, files in the shared folder which tasks map into memory. The
+The levels are cut into shards, files in the shared folder which tasks map into memory. The
 second level is cut so that each shard gets about the same number of training tokens, in the
-middle of a frequent word's successors if need be; the cuts follow from the counts alone.
+middle of a frequent word's successors if need be; the cuts follow from the counts alone. The runs
+of the third level lie in the shard of their pair.
 
 Smoothing is that of Witten and Bell: P(w|h) = (c(hw) + T(h) P(w)) / (c(h) + T(h)), where T(h)
-counts the distinct successors of h, and P(w) = (c(w) + 1) / (N + V + 1). A text is its
-words and an end, and starts as if after an end.
+counts the distinct successors of h, and P(w) = (c(w) + 1) / (N + V + 1); with order 3, P(w|uh) follows
+likewise from c(uhw), c(uh), T(uh) and P(w|h). A text is its words and an end, and starts as if after
+an end; what comes before that end tells nothing, so the first token has one word before it.
 
 Defined cases: a null text is empty and has the end only; without training rows every token has
 probability 1 / (0 + 0 + 1); rows are trained on as often as they come. Other columns are ignored.
@@ -22,7 +25,7 @@ probability 1 / (0 + 0 + 1); rows are trained on as often as they come. Other co
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ from lodespark.staging import spread, stage
 
 # Steps of log10 in which probabilities and weights are kept, from 0 to -32.
 QUANTUM = 1 / 2048
-# Tokens whose counts a task gathers before it passes them on.
+# Tokens whose counts a task gathers before it passes them on; half as many with order 3.
 GATHERED = 4_000_000
 # Bytes of text that are scored together: each shard of the pairs is asked once for all of them.
 SCORED = 1 << 22
@@ -59,6 +62,7 @@ class Level:
     cuts: np.ndarray
     base: np.ndarray  # first level: numbers in the shards before; second: whether a shard has pairs
     size: int = 0
+    kinds: dict[int, tuple[str, str]] = field(default_factory=dict)  # of counts, by shard
 
     def shard_of(self, numbers: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.cuts, numbers.astype(self.cuts.dtype), side="right")
@@ -70,13 +74,13 @@ class Reader:
     def __init__(self, level: Level):
         self.level, self.open = level, {}
 
-    def shard(self, n: int, *arrays: tuple[str, str]) -> tuple:
-        if n not in self.open:
-            self.open[n] = (
-                eliasfano.Sequence(f"{self.level.folder}/keys-{n}"),
+    def shard(self, n: int, keys: str, form: type, *arrays: tuple[str, str]) -> tuple:
+        if (keys, n) not in self.open:
+            self.open[keys, n] = (
+                form(f"{self.level.folder}/{keys}-{n}"),
                 *(mapped(f"{self.level.folder}/{name}-{n}", kind) for name, kind in arrays),
             )
-        return self.open[n]
+        return self.open[keys, n]
 
     def by_shard(self, numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Number of each shard and the places in ``numbers`` that fall to it."""
@@ -96,7 +100,7 @@ class Words(Reader):
         if not len(self.level.base):
             return numbers, counts
         for n, places in self.by_shard(wanted):
-            keys, own = self.shard(n, ("counts", "<i8"))
+            keys, own = self.shard(n, "keys", eliasfano.Sequence, ("counts", "<i8"))
             at = keys.find(wanted[places])
             there = at >= 0
             numbers[places[there]] = at[there] + self.level.base[n]
@@ -155,6 +159,7 @@ class Model:
     pairs: Level
     tokens: int
     vocabulary: int
+    order: int = 2
 
 
 def _columns(batches: Iterator[pa.RecordBatch], n: int) -> list[np.ndarray]:
@@ -172,20 +177,53 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _gathered(
-    batches: Iterator[pa.RecordBatch], number
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct numbers of many tokens with their counts; ``number`` makes them from texts."""
+    batches: Iterator[pa.RecordBatch], number, most: int
+) -> Iterator[np.ndarray]:
+    """Numbers of about ``most`` tokens at a time; ``number`` makes them from texts."""
     keys: list[np.ndarray] = []
     size = 0
     for batch in batches:
         for _, texts in groups(batch):
             keys.append(number(texts))
-            size += len(keys[-1])
-            if size >= GATHERED:
-                yield np.unique(np.concatenate(keys), return_counts=True)
+            size += keys[-1].shape[-1]
+            if size >= most:
+                yield np.concatenate(keys, axis=-1)
                 keys, size = [], 0
     if keys:
-        yield np.unique(np.concatenate(keys), return_counts=True)
+        yield np.concatenate(keys, axis=-1)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, then all their second ones and so on, which pack well."""
+    return values.view("u1").reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: str, size: int, start: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    bytes_ = np.frombuffer(data, "u1", size * width, start).reshape(width, size)
+    return np.ascontiguousarray(bytes_.T).view(kind).ravel()
+
+
+def _packed(keys: np.ndarray, thirds: np.ndarray, counts: np.ndarray) -> bytes:
+    steps = np.diff(keys, prepend=0)
+    return b"".join(map(_planes, (steps.astype("<i8"), thirds.astype("<i4"), counts.astype("<i4"))))
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = len(data) // 16
+    steps, thirds, counts = (
+        _from_planes(data, kind, size, size * start)
+        for kind, start in (("<i8", 0), ("<i4", 8), ("<i4", 12))
+    )
+    return np.cumsum(steps), thirds, counts
+
+
+def _write_counts(path: str, counts: np.ndarray) -> str:
+    """Write counts as the smallest numbers that hold them, and tell which."""
+    kind = np.min_scalar_type(int(counts.max(initial=0))).newbyteorder("<")
+    with replacing(path) as out:
+        out.write(counts.astype(kind).tobytes())
+    return kind.str
 
 
 def _sequence(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -207,7 +245,8 @@ def _count_words(docs: DataFrame) -> DataFrame:
             ids.trim()
             return hashes(ids, _sequence(texts)[0]).astype(np.int64)
 
-        for keys, counts in _gathered(batches, number):
+        for tokens in _gathered(batches, number, GATHERED):
+            keys, counts = np.unique(tokens, return_counts=True)
             yield pa.RecordBatch.from_pydict({"key": keys, "n": counts})
 
     return docs.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -292,50 +331,79 @@ def _counts(words: Level, n: int) -> np.ndarray:
         return np.empty(0, np.int64)
 
 
-def _build_pairs(docs: DataFrame, words: Level, tokens: int, vocabulary: int, folder: str) -> Level:
-    """Write the second level."""
+def _build_pairs(
+    docs: DataFrame, words: Level, tokens: int, vocabulary: int, folder: str, order: int
+) -> Level:
+    """Write the second level and, with order 3, the third."""
     shards = 2 * partitions(docs)
-    if vocabulary**2 >= 2**63:
+    if vocabulary**2 >= 2**63 or vocabulary >= 2**31:
         raise ValueError(f"pairs of {vocabulary} words do not fit in 64 bits")
     cuts = _pair_cuts(words, shards, vocabulary, tokens, docs)
     level = Level(folder, cuts, np.empty(0))
+    bounds = np.concatenate([[0], cuts, [vocabulary * vocabulary]])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(words)
 
         def number(texts: list[bytes]) -> np.ndarray:
+            """Pairs, and the word behind each; -1 behind the end of a text, or if it is not asked for."""
             known.trim()
             all_words, ends = _sequence(texts)
             numbers = known.numbers_of(all_words)
             before = np.empty_like(numbers)
             before[1:] = numbers[:-1]
             before[0] = numbers[ends[0]]
-            return before * vocabulary + numbers
-
-        for keys, counts in _gathered(batches, number):
+            thirds = np.full_like(numbers, -1)
+            if order > 2:
+                thirds[:-1] = numbers[1:]
+                thirds[ends] = -1
+            return np.stack([before * vocabulary + numbers, thirds])
+
+        for pairs, thirds in _gathered(batches, number, -(-GATHERED // (order - 1))):
+            keys, which = np.unique(pairs, return_inverse=True)
+            grams, counts = np.unique(which * (vocabulary + 1) + thirds + 1, return_counts=True)
+            which, thirds = np.divmod(grams, vocabulary + 1)
+            keys = keys[which]
+            held = level.shard_of(keys)
+            starts = np.flatnonzero(np.diff(held, prepend=-1))
+            parts = [slice(*ends) for ends in zip(starts, [*starts[1:], len(held)])]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "key": keys,
-                    "n": counts.astype(np.int32),  # of at most GATHERED tokens and a group more
-                    "shard": level.shard_of(keys).astype(np.int32),
+                    "shard": held[starts].astype(np.int32),
+                    "grams": [_packed(keys[p], thirds[p] - 1, counts[p]) for p in parts],
                 }
             )
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, shards = _columns(batches, 3)
-        if not len(keys):
+        shard, parts = -1, []
+        for batch in batches:
+            for n, grams in zip(batch["shard"].to_pylist(), batch["grams"]):
+                shard = n
+                parts.append(_unpacked(grams.as_py()))
+        if not parts:
             return
-        shard = int(shards[0])
-        keys, counts = _summed(keys, counts)
-        eliasfano.write(f"{folder}/keys-{shard}", keys.astype(np.uint64))
-        kind = "<u1" if counts.max() < 256 else "<i8"
-        with replacing(f"{folder}/raw-{shard}") as out:
-            out.write(counts.astype(kind).tobytes())
+        keys, thirds, counts = (np.concatenate(c) for c in zip(*parts))
+        parts.clear()
+        keys, which = np.unique(keys, return_inverse=True)
+        grams, seen = _summed(which * (vocabulary + 1) + thirds + 1, counts)
+        which, thirds = np.divmod(grams, vocabulary + 1)
+        counts = np.add.reduceat(seen, np.flatnonzero(np.diff(which, prepend=-1)))
+        low, high = int(bounds[shard]) // vocabulary, (int(bounds[shard + 1]) - 1) // vocabulary
         first = keys // vocabulary
+        eliasfano.write_runs(
+            f"{folder}/keys-{shard}", first - low, keys % vocabulary, high - low + 1
+        )
+        kinds = [_write_counts(f"{folder}/raw-{shard}", counts), ""]
+        if order > 2:
+            deeper = thirds > 0
+            eliasfano.write_runs(
+                f"{folder}/thirds-{shard}", which[deeper], thirds[deeper] - 1, len(keys)
+            )
+            kinds[1] = _write_counts(f"{folder}/seen-{shard}", seen[deeper])
         yield pa.RecordBatch.from_pydict(
             {
                 "shard": pa.array([shard], pa.int32()),
-                "kind": [kind],
+                "kinds": [kinds],
                 "first": first[:1],
                 "n_first": [int((first == first[0]).sum())],
                 "last": first[-1:],
@@ -343,12 +411,13 @@ def _build_pairs(docs: DataFrame, words: Level, tokens: int, vocabulary: int, fo
             }
         )
 
-    dealt = docs.mapInArrow(counted, "key long, n int, shard int").repartitionById(
+    dealt = docs.mapInArrow(counted, "shard int, grams binary").repartitionById(
         shards, F.col("shard")
     )
     index = stage(
         dealt.mapInArrow(
-            written, "shard int, kind string, first long, n_first long, last long, n_last long"
+            written,
+            "shard int, kinds array<string>, first long, n_first long, last long, n_last long",
         )
     )
     # A row for each shard: successors of the words whose runs are cut.
@@ -358,8 +427,7 @@ def _build_pairs(docs: DataFrame, words: Level, tokens: int, vocabulary: int, fo
         cut_runs[row["first"]] = cut_runs.get(row["first"], 0) + row["n_first"]
         if row["last"] != row["first"]:
             cut_runs[row["last"]] = cut_runs.get(row["last"], 0) + row["n_last"]
-    kinds = {r["shard"]: r["kind"] for r in rows}
-    bounds = np.concatenate([[0], cuts, [vocabulary * vocabulary]])
+    kinds = {r["shard"]: tuple(r["kinds"]) for r in rows}
 
     def smoothed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts_of = WordCounts(words)
@@ -368,9 +436,9 @@ def _build_pairs(docs: DataFrame, words: Level, tokens: int, vocabulary: int, fo
             low, high = (int(-(-b // vocabulary)) for b in (bounds[shard], bounds[shard + 1]))
             followers = np.zeros(high - low, np.int64)
             if shard in kinds:
-                keys = eliasfano.Sequence(f"{folder}/keys-{shard}").values().astype(np.int64)
-                pairs = np.array(mapped(f"{folder}/raw-{shard}", kinds[shard])).astype(np.int64)
-                first, second = keys // vocabulary, keys % vocabulary
+                first, second = eliasfano.Runs(f"{folder}/keys-{shard}").all()
+                first += int(bounds[shard]) // vocabulary
+                pairs = mapped(f"{folder}/raw-{shard}", kinds[shard][0]).astype(np.int64)
                 runs, which, sizes = np.unique(first, return_inverse=True, return_counts=True)
                 for n in (0, -1):
                     sizes[n] = cut_runs.get(int(runs[n]), sizes[n])
@@ -393,34 +461,61 @@ def _build_pairs(docs: DataFrame, words: Level, tokens: int, vocabulary: int, fo
     docs.sparkSession.range(0, shards, 1, shards).mapInArrow(smoothed, "id long").write.format(
         "noop"
     ).mode("overwrite").save()
-    return Level(folder, cuts, np.array([n in kinds for n in range(shards)]))
+    return Level(folder, cuts, np.array([n in kinds for n in range(shards)]), kinds=kinds)
 
 
-def fit(docs: DataFrame) -> Model:
-    """Train on every row of ``docs`` (text) and write both levels to the shared folder."""
+def fit(docs: DataFrame, order: int = 2) -> Model:
+    """Train on every row of ``docs`` (text) and write ``order`` levels, 2 or 3, to the shared folder."""
+    if order not in (2, 3):
+        raise ValueError(f"a model has 2 or 3 levels, not {order}")
     folder = new_folder(docs.sparkSession, "ngrams")
     docs = spread(docs.select("text"))
     words, tokens = _build_words(docs, f"{folder}/words")
     vocabulary = words.size
     if not vocabulary:
-        return Model(words, Level(f"{folder}/pairs", np.empty(0, np.int64), np.empty(0)), 0, 0)
-    pairs = _build_pairs(docs, words, tokens, vocabulary, f"{folder}/pairs")
-    return Model(words, pairs, tokens, vocabulary)
+        return Model(words, Level(f"{folder}/pairs", np.empty(0, np.int64), np.empty(0)), 0, 0, order)
+    pairs = _build_pairs(docs, words, tokens, vocabulary, f"{folder}/pairs", order)
+    return Model(words, pairs, tokens, vocabulary, order)
 
 
 class Pairs(Reader):
-    """Second level: logarithm of the probability of a pair, or of the weight of unseen ones."""
+    """Second level: logarithm of the probability of a pair, or of the weight of unseen ones; and the
+    third level, which is reached from a pair."""
 
-    def find(self, pairs: np.ndarray) -> np.ndarray:
-        """Steps of the logarithm, -1 for a pair that was not seen."""
+    def find(self, pairs: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+        """Steps of the logarithm, -1 for a pair that was not seen, and its place in its shard."""
         out = np.full(len(pairs), -1, np.int64)
+        found = np.full(len(pairs), -1, np.int64)
         for n, places in self.by_shard(pairs):
             if self.level.base[n]:
-                keys, logs = self.shard(n, ("logs", "<u2"))
-                at = keys.find(pairs[places].astype(np.uint64))
+                keys, logs = self.shard(n, "keys", eliasfano.Runs, ("logs", "<u2"))
+                low = int(self.level.cuts[n - 1]) // vocabulary if n else 0
+                first, second = np.divmod(pairs[places], vocabulary)
+                at, _ = keys.find(first - low, second)
                 there = at >= 0
                 out[places[there]] = logs[at[there]]
-        return out
+                found[places] = at
+        return out, found
+
+    def follow(
+        self, pairs: np.ndarray, found: np.ndarray, thirds: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of the triples, of their pairs, and of the distinct successors of these.
+
+        ``found`` are the places of the pairs, all of them seen; a third word of -1 is unknown.
+        """
+        seen, total, types = (np.zeros(len(pairs), np.int64) for _ in range(3))
+        for n, places in self.by_shard(pairs):
+            own, behind = self.level.kinds[n]
+            runs, counts, raw = self.shard(
+                n, "thirds", eliasfano.Runs, ("seen", behind), ("raw", own)
+            )
+            wanted = thirds[places]
+            at, types[places] = runs.find(found[places], np.maximum(wanted, 0))
+            there = (at >= 0) & (wanted >= 0)
+            seen[places[there]] = counts[at[there]]
+            total[places] = raw[found[places]]
+        return seen, total, types
 
     def weights(self, words: np.ndarray, vocabulary: int) -> np.ndarray:
         """Steps of the logarithm for the words in front."""
@@ -459,12 +554,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                         before[both] * size + numbers[both], return_inverse=True
                     )
                     steps = np.full(len(numbers), -1, np.int64)
-                    steps[both] = pairs.find(keys)[which]
+                    found, at = pairs.find(keys, size)
+                    steps[both] = found[which]
+                    pair = np.full(len(numbers) + 1, -1, np.int64)  # behind which a token stands
+                    pair[both + 1] = np.where(at[which] >= 0, which, -1)
                     unseen = np.flatnonzero((steps < 0) & (before >= 0))
                     heads, which = np.unique(before[unseen], return_inverse=True)
                     logs[unseen] -= pairs.weights(heads, size)[which] * QUANTUM
                     logs[steps >= 0] = -steps[steps >= 0] * QUANTUM
                 starts = np.concatenate([[0], ends[:-1] + 1])
+                if size and model.order > 2:
+                    pair[starts] = -1
+                    third = np.flatnonzero(pair[:-1] >= 0)
+                    third = third[np.argsort(pair[third], kind="stable")]
+                    pair = pair[third]
+                    seen, total, types = pairs.follow(keys[pair], at[pair], numbers[third])
+                    shorter = 10.0 ** logs[third]
+                    logs[third] = np.log10((seen + types * shorter) / (total + types))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(first, len(texts)),
