@@ -17,6 +17,13 @@ from lodespark.llm.storage import mapped, replacing
 
 # With at most so many low bits a number lies within eight bytes from its first byte on.
 MOST_LOW = 56
+U = np.uint64
+# A one at the lowest and the highest bit of each byte.
+BYTES, HIGHEST = U(0x0101010101010101), U(0x8080808080808080)
+# Place of the n-th one of a byte, at eight times the byte plus n.
+IN_BYTE = np.array(
+    [([p for p in range(8) if byte >> p & 1] + [0] * 8)[n] for byte in range(256) for n in range(8)]
+)
 
 
 def write(path: str, values: np.ndarray) -> None:
@@ -56,21 +63,21 @@ def write_runs(path: str, runs: np.ndarray, values: np.ndarray, count: int) -> N
 
 def _selected(bits: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Place of a one in each 64-bit word, ``left`` ones being before it."""
-    at = np.zeros(len(left), np.int64)
-    for step in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
-        skip = left >= below
-        left = np.where(skip, left - below, left)
-        bits = np.where(skip, bits >> np.uint64(step), bits)
-        at += step * skip
-    return at
+    left = left.astype(np.uint64)
+    pairs = bits - ((bits >> U(1)) & (U(0x55) * BYTES))
+    fours = (pairs & (U(0x33) * BYTES)) + ((pairs >> U(2)) & (U(0x33) * BYTES))
+    # Ones up to the end of each byte, in that byte.
+    upto = ((fours + (fours >> U(4))) & (U(0x0F) * BYTES)) * BYTES
+    at = np.bitwise_count((((left * BYTES) | HIGHEST) - upto) & HIGHEST).astype(np.uint64) << U(3)
+    left -= ((upto << U(8)) >> at) & U(255)
+    return at.astype(np.int64) + IN_BYTE[((bits >> at) & U(255)) << U(3) | left]
 
 
 class Sequence:
     """A written sequence."""
 
     def __init__(self, path: str):
-        raw = mapped(path, "u1")
+        raw = np.asarray(mapped(path, "u1"))
         self.base, size, low_bits, words = (int(x) for x in raw[:32].view("<u8"))
         self.size, self.low_bits = size, low_bits
         self.upper = raw[32 : 32 + 8 * words].view("<u8")
@@ -112,15 +119,21 @@ class Sequence:
         wanted = rest & np.uint64((1 << self.low_bits) - 1)
         stop = self._before_zero(high)
         first = np.where(high > 0, self._before_zero(np.maximum(high - 1, 0)), 0)
-        low, end = first.copy(), stop.copy()
-        while (open_ := np.flatnonzero(low < end)).size:  # the first with at least these low bits
-            middle = (low[open_] + end[open_]) >> 1
-            less = self._low(middle) < wanted[open_]
-            low[open_] = np.where(less, middle + 1, low[open_])
-            end[open_] = np.where(less, end[open_], middle)
-        there = np.flatnonzero(low < stop)
-        there = there[self._low(low[there]) == wanted[there]]
-        out[inside[there]] = low[there]
+        # The first with at least these low bits; most high parts have few numbers.
+        open_ = np.flatnonzero(first < stop)
+        low, end, wanted = first[open_], stop[open_], wanted[open_]
+        held = self._low(low)
+        out[inside[open_[held == wanted]]] = low[held == wanted]
+        more = (held < wanted) & (low + 1 < end)
+        open_, low, end, wanted = open_[more], low[more] + 1, end[more], wanted[more]
+        while len(open_):
+            middle = (low + end) >> 1
+            held = self._low(middle)
+            out[inside[open_[held == wanted]]] = middle[held == wanted]
+            less = held < wanted
+            low, end = np.where(less, middle + 1, low), np.where(less, end, middle)
+            more = (held != wanted) & (low < end)
+            open_, low, end, wanted = open_[more], low[more], end[more], wanted[more]
         return out
 
     def values(self) -> np.ndarray:

@@ -364,12 +364,12 @@ def _build_pairs(
             grams, counts = np.unique(which * (vocabulary + 1) + thirds + 1, return_counts=True)
             which, thirds = np.divmod(grams, vocabulary + 1)
             keys = keys[which]
-            held = level.shard_of(keys)
-            starts = np.flatnonzero(np.diff(held, prepend=-1))
-            parts = [slice(*ends) for ends in zip(starts, [*starts[1:], len(held)])]
+            ends = [0, *np.searchsorted(keys, cuts), len(keys)]
+            held = [n for n in range(shards) if ends[n] < ends[n + 1]]
+            parts = [slice(ends[n], ends[n + 1]) for n in held]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "shard": held[starts].astype(np.int32),
+                    "shard": pa.array(held, pa.int32()),
                     "grams": [_packed(keys[p], thirds[p] - 1, counts[p]) for p in parts],
                 }
             )
@@ -566,7 +566,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 if size and model.order > 2:
                     pair[starts] = -1
                     third = np.flatnonzero(pair[:-1] >= 0)
-                    third = third[np.argsort(pair[third], kind="stable")]
+                    third = third[np.argsort(pair[third])]
                     pair = pair[third]
                     seen, total, types = pairs.follow(keys[pair], at[pair], numbers[third])
                     shorter = 10.0 ** logs[third]
