@@ -509,7 +509,8 @@ ORACLES: dict[str, str] = {
     "text_shingles": _with(SHINGLES)
     + " SELECT doc_id, n AS shingles, md5(joined) AS digest FROM sets",
     "minhash_signatures": _with(SHINGLES, SIGNATURES)
-    + " SELECT doc_id, array_to_string(sig, ',') AS signature FROM signatures",
+    + """ SELECT c.doc_id, array_to_string(sig, ',') AS signature
+    FROM copies c JOIN signatures s ON s.doc_id = c.class_id""",
     "minhash_candidates": _with(SHINGLES, SIGNATURES)
     + """ SELECT band::INTEGER AS band, md5(array_to_string(bucket, ',')) AS bucket, doc_id, classes FROM (
     SELECT *, count(*) OVER (PARTITION BY band, bucket) AS classes FROM bands) WHERE classes > 1""",

@@ -117,6 +117,28 @@ def plain_signatures(sets, hashes):
     ]
 
 
+@pytest.mark.parametrize("looked_up", [0, 1 << 20])
+def test_every_document_is_signed(spark, looked_up):
+    """Copies too, rows with one id each by their own text, and texts that are null or too short."""
+    texts = ["one text here", "other words", "one text here", "", None, "ab", "Other words!"]
+    ids = [4, 2, 1, 3, 7, 6, 2]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    signed = plain_signatures([shingle_set(t or "") for t in texts], 120)
+    wanted = sorted((i, ",".join(map(str, one))) for i, one in zip(ids, signed))
+    assert sorted(map(tuple, neardup.document_signatures(df).collect())) == wanted
+
+    placed = neardup.placed_sets(df)
+    rows = neardup.signed_sets(placed, looked_up=looked_up).join(placed, "place").collect()
+    found = [(r["doc_id"], ",".join(map(str, neardup.unpacked_signature(r["signature"])))) for r in rows]
+    assert sorted(found) == wanted
+
+
+@given(st.sets(st.one_of(st.integers(0, 600), st.integers(0, 2_999_999_999))))
+def test_packed_positions(rows):
+    rows = np.array(sorted(rows), dtype=np.int64)
+    assert neardup._unpack(neardup._pack(rows)).tolist() == rows.tolist()
+
+
 def variants(seed, families=8, copies=9):
     """Families of near copies, some of them equal, and some empty texts."""
     rng = random.Random(seed)
