@@ -211,6 +211,15 @@ def test_pairs_are_compared_where_their_bucket_meets(spark):
     assert pairs.where("doc_a < doc_b").count() == len(wanted) > 30
 
 
+def test_a_pair_of_a_large_bucket_is_found_in_one_segment(spark):
+    """Found pairs are not made distinct by a shuffle, though they share several segments."""
+    pairs = neardup.near_duplicates(docs(spark, variants(3)), large_bucket=1)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("FlatMapGroupsInArrow")[0]
+    found = [(r["doc_a"], r["doc_b"]) for r in pairs.collect()]
+    assert len(found) == len(set(found)) > 30
+
+
 def plain_cosines(texts, limit):
     tfs = [Counter(t.lower().split()) for t in texts]
     df = Counter(term for tf in tfs for term in tf)
