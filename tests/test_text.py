@@ -285,6 +285,27 @@ def test_cosine_pairs_are_found_across_blocks(spark, block):
     assert expand(found, tfidf.copies(lists).collect()) == pytest.approx(plain_cosines(texts, 0.4))
 
 
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**62))))
+def test_packed_numbers(numbers):
+    numbers = np.array(numbers, dtype=np.int64)
+    for kind in ("u1", "<u2"):
+        assert tfidf._unpack(tfidf._pack(numbers, kind), len(numbers), kind).tolist() == numbers.tolist()
+
+
+def test_vectors_travel_in_a_few_bytes_a_term(spark):
+    """Term numbers rise with the frequency; terms in any order come back with their weights."""
+    weights = tfidf.weights(tfidf.token_lists(docs(spark, word_texts(5)))).where("weight > 0")
+    rows = weights.select("term_id", "df").distinct().orderBy("term_id").collect()
+    assert [r["df"] for r in rows] == sorted(r["df"] for r in rows)
+    turned = weights.withColumn("term_id", F.lit(10**12) - F.col("term_id"))
+    found = {tuple(r)[:2]: r["similarity"] for r in tfidf.cosine_pairs(weights, 0.4).collect()}
+    other = {tuple(r)[:2]: r["similarity"] for r in tfidf.cosine_pairs(turned, 0.4).collect()}
+    assert found == pytest.approx(other) and len(found) > 30
+    plan = tfidf.cosine_pairs(weights, 0.4)._jdf.queryExecution().analyzed().toString()
+    groups = [line for line in plan.splitlines() if "FlatMapGroupsInArrow" in line]
+    assert groups and "unit" not in groups[0]
+
+
 def test_a_family_is_sent_to_blocks_and_not_to_pairs(spark):
     rows = [(n, 0, t, 0.5, 0.9) for n in range(60) for t in range(20)]
     joined = spark.createDataFrame(
